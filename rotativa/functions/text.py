@@ -1,4 +1,4 @@
-"""Text expressions: cleaning, title case, text of markup, tokens."""
+"""Text expressions: cleaning, title case, text of markup."""
 
 from __future__ import annotations
 
@@ -50,10 +50,3 @@ def node_text(markup: Column) -> Column:
         pieces, lambda piece: F.regexp_replace(decode_entities(piece), r"^[\s ]+|[\s ]+$", "")
     )
     return F.array_join(stripped, "")
-
-
-def tokens(text: Column) -> Column:
-    """Lower-cased tokens split at white space; trailing empty tokens are dropped."""
-    kept = F.regexp_replace(F.lower(text), r"\s+$", "")
-    only_space = (F.length(kept) == 0) & (F.length(text) > 0)
-    return F.when(only_space, F.array().cast("array<string>")).otherwise(F.split(kept, r"\s"))

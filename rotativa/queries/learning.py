@@ -30,6 +30,11 @@ def _output(spark: SparkSession, folder: str) -> str:
     return _outputs[key]
 
 
+def forget() -> None:
+    """Fit again on the next query; stored predictions stay where they are."""
+    _outputs.clear()
+
+
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{_output(spark, folder)}/predicciones_parquet")
 

@@ -45,12 +45,12 @@ def incremental_load(spark, folder):
     rows = headlines(spark, folder)
 
     def run() -> None:
-        arriving = arriving_headline_files(spark, f"{root}/landing/*")
+        arriving = arriving_headline_files(spark, f"{root}/landing")
         load_new_headlines(arriving, f"{root}/target", f"{root}/checkpoint").awaitTermination()
 
-    write_headline_files(rows.where(F.col("fecha") < "2024-02-01"), f"{root}/landing/first")
+    write_headline_files(rows.where(F.col("fecha") < "2024-02-01"), f"{root}/landing")
     run()
-    write_headline_files(rows.where(F.col("fecha") >= "2024-01-25"), f"{root}/landing/second")
+    write_headline_files(rows.where(F.col("fecha") >= "2024-01-25"), f"{root}/landing")
     run()
     run()
     return stored_rows(spark, f"{root}/target").withColumn("batch", F.col("batch").cast("int"))

@@ -70,7 +70,7 @@ def main(folder: str, names: list[str]) -> int:
             else:
                 problem, size = None, f"{QUERIES[name](spark, folder).count()} rows, no oracle"
         except Exception as error:  # report and go on
-            problem, size = f"{type(error).__name__}: {str(error)[:800]}", ""
+            problem, size = f"{type(error).__name__}: {str(error)[-1800:]}", ""
         failures += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s {size}{problem or ''}", flush=True)
     print(f"{failures} failures")
