@@ -65,6 +65,7 @@ RETENTION_DAYS = 30
 # --- fixed values: text and classifier ----------------------------------------
 
 UNWANTED_CHARACTERS = "[^a-zA-ZáéíóúñÁÉÍÓÚÑ ]"
+WANTED_CHARACTER = "[a-zA-ZáéíóúñÁÉÍÓÚÑ ]"
 UNWANTED_CHARACTERS_LOWER = r"[^a-záéíóúñ\s]"
 NUM_FEATURES = 10000
 MAX_ITERATIONS = 10

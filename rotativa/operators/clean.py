@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rotativa.fixed import DEFAULT_CATEGORY, UNKNOWN_SOURCE
+from rotativa.fixed import DEFAULT_CATEGORY, UNKNOWN_SOURCE, WANTED_CHARACTER
 from rotativa.functions.dates import parse_date
 from rotativa.functions.text import clean_text
 from rotativa.operators.dedupe import one_per_title_and_date
@@ -43,9 +43,13 @@ def sink_rows(headlines: DataFrame) -> DataFrame:
 
 
 def is_classifier_row(label: Column, text: Column, *, drop_empty: bool = True) -> Column:
-    """The row has a label and a text, and cleaning leaves something of it."""
+    """The row has a label and a text, and cleaning leaves something of it.
+
+    Something is left when the text has one wanted character; looking for that
+    stops at the first and does not clean the text a second time.
+    """
     present = label.isNotNull() & text.isNotNull()
-    return present & (clean_text(text) != "") if drop_empty else present
+    return present & text.rlike(WANTED_CHARACTER) if drop_empty else present
 
 
 def classifier_rows(

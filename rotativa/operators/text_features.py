@@ -30,7 +30,9 @@ def without_stop_words(rows: DataFrame, stop_words: Sequence[str] | None = None,
 
 def word_counts(rows: DataFrame, words: str = "words") -> DataFrame:
     """How often each word occurs over all rows."""
-    return rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # explode_outer keeps the optimizer from tokenizing a second time to look for empty arrays.
+    exploded = rows.select(F.explode_outer(words).alias("word")).where(F.col("word").isNotNull())
+    return exploded.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def hashed_term_frequencies(rows: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
@@ -41,40 +43,50 @@ def inverse_document_frequency(texts: Column, texts_with_term: Column) -> Column
     return F.log((texts + 1) / (texts_with_term + 1))
 
 
-def tfidf_terms(rows: DataFrame, key: str, words: str = "words") -> DataFrame:
-    """Exact TF-IDF: ``key, term, tf, df, tfidf`` of every term of every text.
+def term_frequencies(rows: DataFrame, key: str, words: str = "words") -> DataFrame:
+    """``key, term, tf`` of every text.
 
-    Term counts per text are made once and reused for the document frequencies.
-    The frequencies come back to the term rows by one join; rows of the most
-    common terms take theirs from a small broadcast instead and enter that join
-    under a key of their own text, so that no join key is hot.
+    A text is one row, so its words are sorted and counted in that row and
+    nothing is shuffled.
     """
-    tf = rows.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    texts = rows.agg(F.count("*")).scalar()
-    common = (
-        df.where(F.length("term") <= COMMON_TERM_LENGTH)
-        .orderBy(F.desc("df"), "term")
-        .limit(COMMON_TERMS)
-        .select(F.col("term").alias("common_term"), F.col("df").alias("common_df"))
+    ordered = rows.select(key, F.array_sort(words).alias("ordered")).where(F.size("ordered") > 0)
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("ordered") - 1),
+        lambda i: (i == 0) | (F.get("ordered", i) != F.get("ordered", i - 1)),
     )
-    marked = tf.join(F.broadcast(common), F.col("term") == F.col("common_term"), "left")
-    spread = F.when(F.col("common_term").isNull(), F.struct(F.col("term"), F.lit("").alias("text"))).otherwise(
-        F.struct(F.lit("").alias("term"), F.col(key).cast("string").alias("text"))
+    runs = ordered.withColumn("begins", begins)
+    ends = F.concat(F.slice("begins", 2, F.size("begins")), F.array(F.size("ordered")))
+    counted = F.zip_with(
+        F.col("begins"),
+        ends,
+        lambda begin, end: F.struct(F.get("ordered", begin).alias("term"), (end - begin).cast("bigint").alias("tf")),
     )
-    rare = df.select(F.struct(F.col("term"), F.lit("").alias("text")).alias("join_key"), F.col("df").alias("rare_df"))
-    return (
-        marked.withColumn("join_key", spread)
-        .join(rare, "join_key", "left")
-        .withColumn("df", F.coalesce("common_df", "rare_df"))
-        .select(
-            key,
-            "term",
-            "tf",
-            "df",
-            F.round(F.col("tf") * inverse_document_frequency(texts, F.col("df")), 6).alias("tfidf"),
-        )
+    return runs.select(key, F.inline(counted))
+
+
+def document_frequencies(rows: DataFrame, words: str = "words") -> DataFrame:
+    """``term, df``: in how many texts a term occurs; counted before the shuffle."""
+    terms = rows.select(F.explode_outer(F.array_distinct(words)).alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def tfidf_terms(rows: DataFrame, key: str, words: str = "words") -> DataFrame:
+    """Exact TF-IDF: ``key, term, tf, df, tfidf`` of every term of every text (one row per key).
+
+    Term rows need the document frequency of their term.  Rows of the most
+    common terms, usually most rows, take it from a broadcast of fixed size and
+    are not shuffled.  The other rows meet their frequency in a shuffled join, in
+    which no term is hot, because the hot ones were dealt with.
+    """
+    tf, df = term_frequencies(rows, key, words), document_frequencies(rows, words)
+    texts = rows.agg(F.count("*")).scalar()
+    rank = F.when(F.length("term") <= COMMON_TERM_LENGTH, F.col("df")).otherwise(0)
+    common = F.broadcast(
+        df.orderBy(rank.desc(), "term").limit(COMMON_TERMS).where(F.length("term") <= COMMON_TERM_LENGTH)
     )
+    found = tf.join(common, "term").unionByName(tf.join(common, "term", "left_anti").join(df, "term"))
+    idf = inverse_document_frequency(texts, F.col("df"))
+    return found.select(key, "term", "tf", "df", F.round(F.col("tf") * idf, 6).alias("tfidf"))
 
 
 def label_index(rows: DataFrame, label: str = "label") -> DataFrame:

@@ -13,6 +13,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 
 from rotativa.fixed import Site
+from rotativa.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +37,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 HEADLINES = """

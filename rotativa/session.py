@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job wants on any cluster.  Shuffle parallelism is left to adaptive
 # execution: it starts wide and merges small partitions, so the same job serves
@@ -56,3 +56,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder (nothing is created yet)."""
     return f"{shared_folder(spark)}/rotativa/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when a small file has fewer splits than there are cores.
+
+    Text work costs far more than moving a few megabytes.  A table of cluster
+    size has more splits than cores and is returned as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
