@@ -75,11 +75,11 @@ def first_in_page(items: Column, key: str) -> Column:
     and position, repeated keys are dropped, and the order is restored.
     """
     placed = F.transform(items, lambda item, i: F.struct(item[key].alias("key"), i.alias("at"), item.alias("item")))
-    ordered = F.array_sort(placed)
+    ordered = F.sort_array(placed)
     paired = F.zip_with(
         ordered,
         F.concat(F.array(F.get(ordered, F.lit(0))), ordered),
         lambda this, before: F.struct(this["at"].alias("at"), this["item"].alias("item"), ((this["at"] == before["at"]) | (this["key"] != before["key"])).alias("first")),
     )
     kept = F.filter(paired, lambda pair: pair["first"])
-    return F.transform(F.array_sort(F.transform(kept, lambda pair: F.struct(pair["at"], pair["item"]))), lambda pair: pair["item"])
+    return F.transform(F.sort_array(F.transform(kept, lambda pair: F.struct(pair["at"], pair["item"]))), lambda pair: pair["item"])

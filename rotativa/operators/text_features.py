@@ -49,7 +49,7 @@ def term_frequencies(rows: DataFrame, key: str, words: str = "words") -> DataFra
     A text is one row, so its words are sorted and counted in that row and
     nothing is shuffled.
     """
-    ordered = rows.select(key, F.array_sort(words).alias("ordered")).where(F.size("ordered") > 0)
+    ordered = rows.select(key, F.sort_array(words).alias("ordered")).where(F.size("ordered") > 0)
     begins = F.filter(
         F.sequence(F.lit(0), F.size("ordered") - 1),
         lambda i: (i == 0) | (F.get("ordered", i) != F.get("ordered", i - 1)),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from rotativa.operators.classify import score, text_classifier
 from rotativa.operators.clean import classifier_rows
 from rotativa.operators.text_features import MAX_LABELS
+from rotativa.session import stored
 from rotativa.sinks.predictions import save_predictions
 
 
@@ -19,8 +20,12 @@ def check_labels(rows: DataFrame, limit: int = MAX_LABELS) -> None:
 
 
 def train(headlines: DataFrame, *keep: str, label: str = "categoria", text: str = "titular", **options) -> tuple[PipelineModel, DataFrame]:
-    """A classifier fitted on all rows, and its scores of those rows."""
-    rows = classifier_rows(headlines, *keep, label=label, text=text)
+    """A classifier fitted on all rows, and its scores of those rows.
+
+    Fitting and scoring read the rows several times, so their cleaned text is
+    stored once.
+    """
+    rows = stored(classifier_rows(headlines, *keep, label=label, text=text), "classifier-rows")
     check_labels(rows)
     model = text_classifier(**options).fit(rows)
     return model, score(model, rows)

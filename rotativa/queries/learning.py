@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rotativa.operators import classify, text_features
-from rotativa.operators.clean import classifier_rows
 from rotativa.plans import classification
 from rotativa.queries.base import query, table
 from rotativa.queries.rows import headlines
 from rotativa.queries.text import texts
-from rotativa.session import new_folder
+from rotativa.session import new_folder, stored
 from rotativa.sinks.predictions import PREDICTIONS, PREDICTIONS_WITH_PROBABILITY
 
 _outputs: dict[tuple[str, str], str] = {}
@@ -58,7 +57,7 @@ def hashing_tf(spark, folder):
 
 @query("hashing_tfidf")
 def hashing_tfidf(spark, folder):
-    rows = texts(spark, folder)
+    rows = stored(texts(spark, folder), "texts")
     return _entries(classify.text_features().fit(rows).transform(rows), "features")
 
 
@@ -89,7 +88,7 @@ def ml_metrics(spark, folder):
 
 @query("topic_clusters")
 def topic_clusters(spark, folder):
-    rows = texts(spark, folder)
+    rows = stored(texts(spark, folder), "texts")
     topics = classify.topic_model().fit(rows).transform(rows)
     return topics.groupBy("topic").agg(F.count("*").alias("n"))
 
@@ -100,6 +99,6 @@ def label_classifier(spark, folder):
     documents = table(spark, folder, "documents").join(
         table(spark, folder, "labels").select("doc_id", F.col("quality").cast("string").alias("quality")), "doc_id"
     )
-    rows = classifier_rows(documents, "doc_id", label="quality", text="text")
-    scored = classify.with_top_probability(classify.score(classify.text_classifier().fit(rows), rows))
+    _, predictions = classification.train(documents, "doc_id", label="quality", text="text")
+    scored = classify.with_top_probability(predictions)
     return scored.select("doc_id", "label", "prediction", "top_probability")

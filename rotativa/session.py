@@ -66,3 +66,14 @@ def spread(rows: DataFrame) -> DataFrame:
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    For intermediate results that are costly to make and read more than once.
+    The written table cuts the lineage and outlives any executor.
+    """
+    path = new_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
