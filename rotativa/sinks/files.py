@@ -33,10 +33,12 @@ def _partitioned(rows: DataFrame, rows_per_file: int):
 
 
 def write_headline_files(headlines: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Headline files with a header, in one folder per source and day."""
+    """Headline files with a header, in one folder per source and day.
+
+    A CSV file does not tell an empty text from a missing one; it reads as NULL.
+    """
     rows = headlines.select(*CSV_COLUMNS, *PARTITION_COLUMNS)
-    # An empty text and a missing one must stay different in a file.
-    _partitioned(rows, rows_per_file).options(**CSV_OPTIONS, emptyValue='""').csv(path)
+    _partitioned(rows, rows_per_file).options(**CSV_OPTIONS).csv(path)
 
 
 def write_headline_table(headlines: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
