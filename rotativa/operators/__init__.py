@@ -1 +1,4 @@
-"""Operators: functions from DataFrames to DataFrames, without actions inside."""
+"""Operators: functions from DataFrames to DataFrames.
+
+They run nothing by themselves; the one that stores an intermediate table says so.
+"""

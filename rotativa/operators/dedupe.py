@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.fixed import UNIQUE_TITLE_CHARACTERS
+from rotativa.session import stored
 
 # The sink compares text without case, accents and trailing spaces.
 SINK_COLLATION = "UNICODE_CI_AI_RTRIM"
@@ -53,19 +54,28 @@ def one_per_sink_key(news: DataFrame) -> DataFrame:
     return keyed.drop(_TITLE_KEY, _SOURCE_KEY)
 
 
-def absent_from(news: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of ``news``, one per sink key, whose key the target does not hold.
+def absent_keys(unique: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows of ``unique`` whose sink key the target does not hold.
 
-    Only the target's rows between the first and last incoming date are read.
-    Both sides have one row per key, so no key is hot in the join.
+    Both sides have one row per key, so no key is hot in the join.  Only the
+    target's rows between the first and last incoming date are read.
     """
-    first = news.agg(F.min("fecha")).scalar()
-    last = news.agg(F.max("fecha")).scalar()
+    first = unique.agg(F.min("fecha")).scalar()
+    last = unique.agg(F.max("fecha")).scalar()
     held = _with_sink_key(
         target.select("fecha", "titular", "periodico").where(F.col("fecha").between(first, last))
     ).select("fecha", _TITLE_KEY, _SOURCE_KEY)
-    incoming = _with_sink_key(one_per_sink_key(news))
-    return incoming.join(held, ["fecha", _TITLE_KEY, _SOURCE_KEY], "left_anti").select(*news.columns)
+    incoming = _with_sink_key(unique)
+    return incoming.join(held, ["fecha", _TITLE_KEY, _SOURCE_KEY], "left_anti").select(*unique.columns)
+
+
+def absent_from(news: DataFrame, target: DataFrame) -> DataFrame:
+    """One row per sink key of ``news``, without the keys the target holds.
+
+    The unique rows are stored in between, because the join and the date range
+    both need them.
+    """
+    return absent_keys(stored(one_per_sink_key(news), "unique-rows"), target)
 
 
 def first_in_page(items: Column, key: str) -> Column:

@@ -77,4 +77,5 @@ def missing_raw_pages(expected: DataFrame, listing: DataFrame, prefix: str = "he
     key = F.format_string(
         f"{prefix}/%s-%s.html", F.col("periodico"), F.date_format("fecha", "yyyy-MM-dd")
     )
-    return expected.withColumn("key", key).join(listing.select("key").distinct(), "key", "left_anti")
+    landed = listing.select("key").where(F.col("key").startswith(f"{prefix}/")).distinct()
+    return expected.withColumn("key", key).join(landed, "key", "left_anti")

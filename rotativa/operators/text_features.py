@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rotativa.fixed import NUM_FEATURES
 
 # Terms that occur in most texts are joined by broadcast.  Whatever the data,
-# at most this many terms of at most this length are sent to the executors, and
-# no other term can hold more than 1/COMMON_TERMS of all rows.
+# at most this many terms of at most this length are sent to the executors (16 MB
+# in all), and no other term of that length can hold more than 1/COMMON_TERMS of
+# all rows.  Longer terms are left to the skew handling of adaptive execution.
 COMMON_TERMS = 1000
-COMMON_TERM_LENGTH = 256
+COMMON_TERM_LENGTH = 4096
 
-MAX_LABELS = 100_000
+# A classifier holds one row of coefficients per label on the driver.
+MAX_LABELS = 10_000
 
 
 def with_words(rows: DataFrame, text: str = "clean_text") -> DataFrame:
@@ -92,10 +94,11 @@ def tfidf_terms(rows: DataFrame, key: str, words: str = "words") -> DataFrame:
 def label_index(rows: DataFrame, label: str = "label") -> DataFrame:
     """Labels by frequency, ties by name: the index the classifier uses.
 
-    Labels are counted before they are ranked; a classifier cannot have more than
-    ``MAX_LABELS`` classes, and more than that is an error here.
+    Labels are counted before they are ranked.  The ranking is one small task: no
+    more than ``MAX_LABELS`` labels reach it, and having more is an error.
     """
     counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    counts = counts.orderBy(F.desc("n"), label).limit(MAX_LABELS + 1)
     rank = F.row_number().over(Window.orderBy(F.desc("n"), label)) - 1
     return counts.select(
         label,

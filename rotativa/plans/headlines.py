@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from rotativa.fixed import CSV_COLUMNS, EL_ESPECTADOR, EL_TIEMPO, Site
+from rotativa.fixed import CSV_COLUMNS, EL_ESPECTADOR, EL_TIEMPO, PARTITION_COLUMNS, Site
 from rotativa.functions.paths import SOURCE_NAMES
 from rotativa.operators.extract import (
     headlines_of,
@@ -19,6 +20,7 @@ from rotativa.operators.extract import (
 from rotativa.operators.partitions import ensure_database, recreate_table, repair_partitions
 from rotativa.sinks.files import with_partition_columns, write_headline_files
 from rotativa.sources.pages import decode_pages, read_page_files, readable_pages
+from rotativa.streaming.ingest import append_stream, arriving_page_files
 
 
 def extract_headlines(
@@ -48,7 +50,7 @@ def extract_headlines(
     )
     rows = stamp(headlines_of(outlined, items), run_date, always_run_date=always_run_date)
     return with_partition_columns(rows).select(
-        "path", "position", *CSV_COLUMNS, "periodico", "year", "month", "day"
+        "path", "position", *CSV_COLUMNS, *PARTITION_COLUMNS
     )
 
 
@@ -58,6 +60,12 @@ def process_pages(spark: SparkSession, raw_root: str, output_root: str, run_date
     write_headline_files(extract_headlines(pages, run_date, **options), output_root)
 
 
+def follow_pages(spark: SparkSession, raw_root: str, output_root: str, checkpoint: str, run_date: str, **options) -> StreamingQuery:
+    """Extract the headlines of the pages that have landed since the last run, each page once."""
+    pages = readable_pages(decode_pages(arriving_page_files(spark, raw_root)))
+    return append_stream(extract_headlines(pages, run_date, **options), output_root, checkpoint, *PARTITION_COLUMNS)
+
+
 def refresh_catalog(spark: SparkSession, database: str, location: str, table: str = "headlines") -> DataFrame:
     """Define the table over the dataset, register its partitions and return it."""
     ensure_database(spark, database)

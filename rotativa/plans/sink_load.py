@@ -13,7 +13,7 @@ from rotativa.operators.dedupe import absent_from
 def load_sink(headlines: DataFrame, write: Callable[[DataFrame], None], held: DataFrame | None = None) -> dict[str, int]:
     """Clean, drop what the sink holds already, write, and return the row counts.
 
-    Rows read and rows written are observed while the single write runs.  Nothing
+    Rows read and rows written are observed while the data pass through.  Nothing
     is written when no valid row comes in; one valid row is enough to know, so
     that check reads no further.
     """

@@ -107,7 +107,8 @@ def distinct_dates(spark, folder):
 def insert_if_absent(spark, folder):
     """All rows arrive at a sink that already holds those of two categories."""
     rows = clean.valid_rows(headlines(spark, folder))
-    return dedupe.absent_from(rows, rows.where(F.col("categoria").isin("en", "General")))
+    held = dedupe.one_per_sink_key(rows.where(F.col("categoria").isin("en", "General")))
+    return dedupe.absent_from(rows, held)
 
 
 # --- counts -------------------------------------------------------------------

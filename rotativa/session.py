@@ -21,8 +21,6 @@ JOB_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
-    # Pages are large values: keep the Arrow batches sent to Python small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
@@ -65,7 +63,9 @@ def spread(rows: DataFrame) -> DataFrame:
     size has more splits than cores and is returned as it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    if len(rows.inputFiles()) >= cores or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

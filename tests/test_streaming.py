@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rotativa.operators.dedupe import one_per_sink_key
+from rotativa.operators.dedupe import absent_keys, one_per_sink_key
 from rotativa.operators.clean import valid_rows
+from rotativa.plans.headlines import follow_pages
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
@@ -70,12 +71,10 @@ def test_only_arriving_dates_of_the_target_are_read(spark, tmp_path):
     incremental.append_new_rows(rows_of(spark, 1, "Uno").unionByName(rows_of(spark, 9, "Nueve")), 0, target)
     held = incremental.stored_rows(spark, target)
     incoming = valid_rows(rows_of(spark, 9, "Nueve", "Diez"))
-    from rotativa.operators.dedupe import absent_from
-
-    plan = absent_from(incoming, held)._jdf.queryExecution().executedPlan().toString()
+    plan = absent_keys(incoming, held)._jdf.queryExecution().executedPlan().toString()
     partition_filters = [line for line in plan.splitlines() if "FileScan parquet" in line and "PartitionFilters: [isnotnull(fecha" in line]
     assert partition_filters, plan
-    assert [r.titular for r in absent_from(incoming, held).collect()] == ["Diez"]
+    assert [r.titular for r in absent_keys(incoming, held).collect()] == ["Diez"]
 
 
 def test_running_summary(spark, tmp_path):
@@ -111,6 +110,26 @@ def test_arriving_pages_and_plain_append(spark, tmp_path):
     assert run() == ["elespectador", "eltiempo"]
 
 
+def test_following_landed_pages(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+
+    def land(name, title):
+        (raw / name).write_text(f"<article><h1>{title}</h1></article>")
+
+    def run():
+        follow_pages(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "cp"), "2024-02-01", generic=True).awaitTermination()
+        return sorted((r.titular, r.periodico, r.fecha) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    land("eltiempo-2024-01-15.html", "Noticia del lunes")
+    land("otro-2024-01-15.html", "Noticia de otro sitio")
+    first = [("Noticia del lunes", "eltiempo", "2024-01-15")]
+    assert run() == first
+    assert run() == first
+    land("elespectador-2024-01-15.html", "Noticia de la tarde")
+    assert run() == [("Noticia de la tarde", "elespectador", "2024-01-15"), *first]
+
+
 def test_first_titles_forget_old_dates(spark, tmp_path):
     source = str(tmp_path / "in")
 
