@@ -66,6 +66,12 @@ def partition_levels(path: Column) -> Column:
     return F.map_from_entries(latest)
 
 
+def level_value(path: Column, name: str) -> Column:
+    """Value of one partition level of a path, the last one if repeated, NULL if there is none."""
+    pattern = rf"(?:^|/){name}=([^/]*)(?!.*/{name}=)"
+    return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, 1))
+
+
 def partition_values(levels: Column) -> Column:
     """The four partition values in order; a missing one is empty."""
     return F.array(*[F.coalesce(levels[name], F.lit("")) for name in PARTITION_COLUMNS])

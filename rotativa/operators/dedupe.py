@@ -16,7 +16,7 @@ from rotativa.session import stored
 
 # The sink compares text without case, accents and trailing spaces.
 SINK_COLLATION = "UNICODE_CI_AI_RTRIM"
-_TITLE_KEY, _SOURCE_KEY = "_title_key", "_source_key"
+_SINK_KEY = ("fecha", "_key_hash", "_title_key", "_source_key")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -37,36 +37,44 @@ def any_per_title_and_date(news: DataFrame) -> DataFrame:
 
 
 def _with_sink_key(news: DataFrame) -> DataFrame:
-    title = F.left("titular", F.lit(UNIQUE_TITLE_CHARACTERS))
+    """Rows with the columns of the sink key.
+
+    Equal texts of a collation have equal hashes.  The hash leads the texts, so
+    that sorting by the key compares numbers and, only where those are equal,
+    texts by the rules of the collation.
+    """
+    title = F.collate(F.left("titular", F.lit(UNIQUE_TITLE_CHARACTERS)), SINK_COLLATION)
+    source = F.collate("periodico", SINK_COLLATION)
     return news.withColumns(
-        {
-            _TITLE_KEY: F.collate(title, SINK_COLLATION),
-            _SOURCE_KEY: F.collate("periodico", SINK_COLLATION),
-        }
+        {"_key_hash": F.xxhash64(title, source), "_title_key": title, "_source_key": source}
     )
 
 
 def one_per_sink_key(news: DataFrame) -> DataFrame:
     """One row per unique key of the sink: date, start of the title, source."""
-    keyed = first_per_key(
-        _with_sink_key(news), ["fecha", _TITLE_KEY, _SOURCE_KEY], ["enlace", "categoria", "titular"]
-    )
-    return keyed.drop(_TITLE_KEY, _SOURCE_KEY)
+    keyed = first_per_key(_with_sink_key(news), _SINK_KEY, ["enlace", "categoria", "titular"])
+    return keyed.select(*news.columns)
 
 
 def absent_keys(unique: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of ``unique`` whose sink key the target does not hold.
 
     Both sides have one row per key, so no key is hot in the join.  Only the
-    target's rows between the first and last incoming date are read.
+    target's rows between the first and last incoming date are read.  The join
+    matches dates and hashes; texts are compared by the rules of the collation
+    where those match.  (Equality is written as a range, or it would become a
+    join key and every text would be converted for it.)
     """
     first = unique.agg(F.min("fecha")).scalar()
     last = unique.agg(F.max("fecha")).scalar()
     held = _with_sink_key(
         target.select("fecha", "titular", "periodico").where(F.col("fecha").between(first, last))
-    ).select("fecha", _TITLE_KEY, _SOURCE_KEY)
-    incoming = _with_sink_key(unique)
-    return incoming.join(held, ["fecha", _TITLE_KEY, _SOURCE_KEY], "left_anti").select(*unique.columns)
+    ).select(*_SINK_KEY)
+    new, old = _with_sink_key(unique).alias("new"), held.alias("old")
+    same = [F.col(f"new.{name}") == F.col(f"old.{name}") for name in ("fecha", "_key_hash")] + [
+        F.col(f"new.{name}").between(F.col(f"old.{name}"), F.col(f"old.{name}")) for name in ("_title_key", "_source_key")
+    ]
+    return new.join(old, same, "left_anti").select(*unique.columns)
 
 
 def absent_from(news: DataFrame, target: DataFrame) -> DataFrame:

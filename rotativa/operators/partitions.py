@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rotativa.fixed import CSV_COLUMNS, PARTITION_COLUMNS, RETENTION_DAYS
 from rotativa.functions.dates import partition_date
-from rotativa.functions.paths import partition_levels
+from rotativa.functions.paths import level_value
 from rotativa.sources.headlines import CSV_OPTIONS
 
 KEYS = list(PARTITION_COLUMNS)
@@ -27,10 +27,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def with_levels(listing: DataFrame) -> DataFrame:
     """Listing with one column per partition level, NULL where the key has none."""
-    levels = partition_levels(F.col("key"))
-    return listing.withColumn("levels", levels).select(
-        *listing.columns, *[F.col("levels")[name].alias(name) for name in KEYS]
-    )
+    return listing.withColumns({name: level_value(F.col("key"), name) for name in KEYS})
 
 
 def _partitioned(listing: DataFrame) -> DataFrame:
@@ -40,9 +37,9 @@ def _partitioned(listing: DataFrame) -> DataFrame:
     return with_levels(listing.where(marked))
 
 
-def partitions_found(listing: DataFrame) -> DataFrame:
-    """Distinct partitions of the keys that have all four levels."""
-    return _partitioned(listing).select(*KEYS).distinct()
+def partitions_found(listing: DataFrame, *also: str) -> DataFrame:
+    """Distinct partitions of the keys that have all four levels, with further columns if named."""
+    return _partitioned(listing).select(*KEYS, *also).distinct()
 
 
 def partition_inventory(listing: DataFrame) -> DataFrame:

@@ -73,9 +73,8 @@ registered AS (
 def _registered(spark: SparkSession, folder: str) -> DataFrame:
     """Catalog entries: those of one language, and those of another under a past year."""
     listed = keys(spark, folder).where(F.col("lang").isin("en", "de"))
-    levels = partitions.with_levels(listed).na.drop(subset=list(PARTITION_COLUMNS))
-    year = F.when(F.col("lang") == "de", "2023").otherwise(F.col("year"))
-    return levels.withColumn("year", year).select(*PARTITION_COLUMNS).distinct()
+    found = partitions.partitions_found(listed, "lang")
+    return found.withColumn("year", F.when(F.col("lang") == "de", "2023").otherwise(F.col("year"))).drop("lang")
 
 
 @query(

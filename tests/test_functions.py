@@ -152,3 +152,9 @@ def test_url_category(column):
     values = ["https://www.elespectador.com/salud-y-vida/x/", "https://www.elespectador.com/", "http://otro.com/deportes/x"]
     assert column(lambda x: links.url_category(x, EL_ESPECTADOR), *values) == ["Salud Y Vida", "Sin categoría", "Http:"]
     assert column(links.url_category, *values) == ["Salud Y Vida", "Sin categoría", "Deportes"]
+
+
+def test_level_value_agrees_with_the_levels(column):
+    samples = ["periodico=a/year=2024/f", "x/year=1/year=2/f", "x/fiscalyear=9/f", "x/year=/f", "x/year=a=b", "", "year"]
+    by_map = column(lambda x: paths.partition_levels(x)["year"], *samples)
+    assert column(lambda x: paths.level_value(x, "year"), *samples) == by_map == ["2024", "2", None, "", "a=b", None, None]
