@@ -1,4 +1 @@
-"""Operators: functions from DataFrames to DataFrames.
-
-They run nothing by themselves; the one that stores an intermediate table says so.
-"""
+"""Operators: functions from DataFrames to DataFrames; they run nothing by themselves."""

@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.fixed import UNIQUE_TITLE_CHARACTERS
-from rotativa.session import stored
 
 # The sink compares text without case, accents and trailing spaces.
 SINK_COLLATION = "UNICODE_CI_AI_RTRIM"
-_SINK_KEY = ("fecha", "_key_hash", "_title_key", "_source_key")
+_SINK_KEY = ("fecha", "_title_key", "_source_key")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -37,16 +36,9 @@ def any_per_title_and_date(news: DataFrame) -> DataFrame:
 
 
 def _with_sink_key(news: DataFrame) -> DataFrame:
-    """Rows with the columns of the sink key.
-
-    Equal texts of a collation have equal hashes.  The hash leads the texts, so
-    that sorting by the key compares numbers and, only where those are equal,
-    texts by the rules of the collation.
-    """
-    title = F.collate(F.left("titular", F.lit(UNIQUE_TITLE_CHARACTERS)), SINK_COLLATION)
-    source = F.collate("periodico", SINK_COLLATION)
+    title = F.left("titular", F.lit(UNIQUE_TITLE_CHARACTERS))
     return news.withColumns(
-        {"_key_hash": F.xxhash64(title, source), "_title_key": title, "_source_key": source}
+        {"_title_key": F.collate(title, SINK_COLLATION), "_source_key": F.collate("periodico", SINK_COLLATION)}
     )
 
 
@@ -56,34 +48,22 @@ def one_per_sink_key(news: DataFrame) -> DataFrame:
     return keyed.select(*news.columns)
 
 
-def absent_keys(unique: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of ``unique`` whose sink key the target does not hold.
-
-    Both sides have one row per key, so no key is hot in the join.  Only the
-    target's rows between the first and last incoming date are read.  The join
-    matches dates and hashes; texts are compared by the rules of the collation
-    where those match.  (Equality is written as a range, or it would become a
-    join key and every text would be converted for it.)
-    """
-    first = unique.agg(F.min("fecha")).scalar()
-    last = unique.agg(F.max("fecha")).scalar()
-    held = _with_sink_key(
-        target.select("fecha", "titular", "periodico").where(F.col("fecha").between(first, last))
-    ).select(*_SINK_KEY)
-    new, old = _with_sink_key(unique).alias("new"), held.alias("old")
-    same = [F.col(f"new.{name}") == F.col(f"old.{name}") for name in ("fecha", "_key_hash")] + [
-        F.col(f"new.{name}").between(F.col(f"old.{name}"), F.col(f"old.{name}")) for name in ("_title_key", "_source_key")
-    ]
-    return new.join(old, same, "left_anti").select(*unique.columns)
-
-
 def absent_from(news: DataFrame, target: DataFrame) -> DataFrame:
     """One row per sink key of ``news``, without the keys the target holds.
 
-    The unique rows are stored in between, because the join and the date range
-    both need them.
+    Held and new rows are grouped together by key and a held row comes first, so
+    one aggregation drops the repeated and the held ones.  Like every grouping
+    here it starts before the shuffle, whichever side a frequent key is on.  Only
+    the target's rows between the first and last incoming date are read.
     """
-    return absent_keys(stored(one_per_sink_key(news), "unique-rows"), target)
+    first = news.agg(F.min("fecha")).scalar()
+    last = news.agg(F.max("fecha")).scalar()
+    held = target.select("fecha", "titular", "periodico").where(F.col("fecha").between(first, last))
+    both = news.withColumn("_is_new", F.lit(True)).unionByName(
+        held.withColumn("_is_new", F.lit(False)), allowMissingColumns=True
+    )
+    firsts = first_per_key(_with_sink_key(both), _SINK_KEY, ["_is_new", "enlace", "categoria", "titular"])
+    return firsts.where("_is_new").select(*news.columns)
 
 
 def first_in_page(items: Column, key: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rotativa.operators.clean import valid_rows
-from rotativa.operators.dedupe import absent_keys, one_per_sink_key
+from rotativa.operators.dedupe import absent_from
 from rotativa.schema import NEWS
 from rotativa.session import stored
 
@@ -24,17 +24,17 @@ def append_new_rows(batch: DataFrame, batch_id: int, target: str) -> None:
 
     Each batch owns one folder.  A batch that is run again after a failure
     compares with the earlier batches only and replaces its own folder, so the
-    target ends up the same.  The batch is read once: its unique rows are stored
-    and compared.  Rows are kept by date, so the comparison reads only the dates
+    target ends up the same.  The batch is read once: its rows are stored and
+    compared.  Rows are kept by date, so the comparison reads only the dates
     that arrived.
     """
-    rows = stored(one_per_sink_key(valid_rows(batch)), "batch-rows")
+    rows = stored(valid_rows(batch), "batch-rows")
     if batch_id > 0:
         held = stored_rows(batch.sparkSession, target).where(F.col("batch") < batch_id)
     else:
         held = rows.limit(0)
     (
-        absent_keys(rows, held)
+        absent_from(rows, held)
         .hint("rebalance", "fecha")
         .write.mode("overwrite")
         .partitionBy("fecha")

@@ -22,12 +22,16 @@ def stored_news(spark, tmp_path):
     return spark.read.schema(NEWS).parquet(path)
 
 
-@pytest.mark.parametrize("operator", [dedupe.one_per_title_and_date, dedupe.one_per_sink_key])
+def absent_from_itself(news):
+    return dedupe.absent_from(news, news)
+
+
+@pytest.mark.parametrize("operator", [dedupe.one_per_title_and_date, dedupe.one_per_sink_key, absent_from_itself])
 def test_duplicates_are_reduced_before_the_shuffle(stored_news, operator):
     plan = plan_of(operator(stored_news))
     assert plan.index("functions=[min(") < plan.index("Exchange hashpartitioning") < plan.index("partial_min(")
-    assert plan.count("Exchange") == 1
-    assert "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan and "Join" not in plan
 
 
 def test_extraction_does_not_shuffle(spark, tmp_path):

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rotativa.operators.dedupe import absent_keys, one_per_sink_key
+from rotativa.operators.dedupe import absent_from, one_per_sink_key
 from rotativa.operators.clean import valid_rows
 from rotativa.plans.headlines import follow_pages
 from rotativa.schema import HEADLINES, NEWS
@@ -71,10 +71,10 @@ def test_only_arriving_dates_of_the_target_are_read(spark, tmp_path):
     incremental.append_new_rows(rows_of(spark, 1, "Uno").unionByName(rows_of(spark, 9, "Nueve")), 0, target)
     held = incremental.stored_rows(spark, target)
     incoming = valid_rows(rows_of(spark, 9, "Nueve", "Diez"))
-    plan = absent_keys(incoming, held)._jdf.queryExecution().executedPlan().toString()
+    plan = absent_from(incoming, held)._jdf.queryExecution().executedPlan().toString()
     partition_filters = [line for line in plan.splitlines() if "FileScan parquet" in line and "PartitionFilters: [isnotnull(fecha" in line]
     assert partition_filters, plan
-    assert [r.titular for r in absent_keys(incoming, held).collect()] == ["Diez"]
+    assert [r.titular for r in absent_from(incoming, held).collect()] == ["Diez"]
 
 
 def test_running_summary(spark, tmp_path):
