@@ -78,6 +78,8 @@ def test_sink_key_ignores_case_accents_and_the_end_of_long_titles(news):
         (DAY, "C", "x" * 499 + "y2", "/6", "a"),
     )
     assert sorted(r.enlace for r in dedupe.one_per_sink_key(rows).collect()) == ["/1", "/3", "/4", "/6"]
+    exact = dedupe.one_per_sink_key(rows, "UTF8_BINARY")
+    assert sorted(r.enlace for r in exact.collect()) == ["/1", "/2", "/3", "/4", "/6"]
 
 
 def test_absent_from(news):
