@@ -25,7 +25,7 @@ def document_headlines(documents: DataFrame) -> DataFrame:
     )
     link = F.concat_ws("/", F.lit("https://www.example.org"), "lang", F.col("doc_id").cast("string"), F.col("line").cast("string"))
     return lines.select(
-        F.date_format("day_of", "yyyy-MM-dd").alias("fecha"),
+        F.col("day_of").cast("string").alias("fecha"),
         F.nullif(F.col("lang"), F.lit("fr")).alias("categoria"),
         "titular",
         link.alias("enlace"),
@@ -151,18 +151,28 @@ def object_keys(documents: DataFrame) -> DataFrame:
     By document number: an unpadded month, a missing level, an impossible date, a
     value holding ``=``, a repeated level, and otherwise a regular key.
     """
-    number = F.col("doc_id").cast("string")
-    day_of = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("doc_id") % 60).cast("int"))
-    month, day = F.date_format(day_of, "MM"), F.date_format(day_of, "dd")
+    day_of = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("doc_id") % 60).cast("int")).cast("string")
+    month, day = F.substring(day_of, 6, 2), F.substring(day_of, 9, 2)
     fault = F.col("doc_id") % 12
-    folder = F.concat(F.lit("headlines/final/periodico="), "source", F.lit("/year=2024/month="))
-    key = (
-        F.when(fault == 5, F.concat(folder, F.month(day_of).cast("string"), F.lit("/day="), day, F.lit("/f"), number, F.lit(".csv")))
-        .when(fault == 6, F.concat(folder, month, F.lit("/f"), number, F.lit(".csv")))
-        .when(fault == 7, F.concat(folder, F.lit("13/day="), day, F.lit("/f"), number, F.lit(".csv")))
-        .when(fault == 8, F.concat(folder, month, F.lit("/day="), day, F.lit("=x/f"), number, F.lit(".csv")))
-        .when(fault == 9, F.concat(folder, month, F.lit("/day=00/day="), day, F.lit("/f"), number, F.lit(".csv")))
-        .when(fault == 10, F.concat(F.lit("headlines/raw/"), "source", F.lit("-"), F.date_format(day_of, "yyyy-MM-dd"), F.lit(".html")))
-        .otherwise(F.concat(folder, month, F.lit("/day="), day, F.lit("/f"), number, F.lit(".csv")))
+    month_value = (
+        F.when(fault == 5, F.ltrim(month, F.lit("0"))).when(fault == 7, "13").otherwise(month)
     )
+    day_level = (
+        F.when(fault == 6, "")
+        .when(fault == 8, F.concat(F.lit("/day="), day, F.lit("=x")))
+        .when(fault == 9, F.concat(F.lit("/day=00/day="), day))
+        .otherwise(F.concat(F.lit("/day="), day))
+    )
+    raw = F.concat(F.lit("headlines/raw/"), "source", F.lit("-"), day_of, F.lit(".html"))
+    final = F.concat(
+        F.lit("headlines/final/periodico="),
+        "source",
+        F.lit("/year=2024/month="),
+        month_value,
+        day_level,
+        F.lit("/f"),
+        F.col("doc_id").cast("string"),
+        F.lit(".csv"),
+    )
+    key = F.when(fault == 10, raw).otherwise(final)
     return documents.select("doc_id", "lang", key.alias("key"), F.col("n_chars").alias("bytes"))
