@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -34,6 +35,11 @@ def build_session(app_name: str = "rotativa", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"rotativa-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -45,9 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="rotativa-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder(spark.sparkContext.applicationId)
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 

@@ -27,6 +27,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class FakeSession:
+    """A session whose settings are the given ones."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+        self.sparkContext = self
+        self.applicationId = "app"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(ValueError):
+        shared_folder(FakeSession(spark_master="yarn"))
+    assert shared_folder(FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs:/shared/")) == "hdfs:/shared"
+    local = FakeSession(spark_master="local[2]")
+    assert shared_folder(local) == shared_folder(local)
+
+
 def test_text_survives_headline_files(spark, tmp_path):
     rows = [
         ("2024-01-15", "a, b", 'dice "hola", y', "/x", "eltiempo", "2024", "01", "15"),

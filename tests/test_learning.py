@@ -53,6 +53,13 @@ def test_words_and_stop_words(spark):
     assert spanish.filtered_words == ["the", "ley", "", "paz"]
 
 
+def test_hashed_frequencies_hold_every_word(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, ["c"])], "id INT, filtered_words ARRAY<STRING>")
+    hashed = text_features.hashed_term_frequencies(rows, 64).orderBy("id").collect()
+    assert [sum(r.rawFeatures.values) for r in hashed] == [3.0, 0.0, 1.0]
+    assert sorted(hashed[0].rawFeatures.values) == [1.0, 2.0] and hashed[0].rawFeatures.size == 64
+
+
 def test_tfidf_terms_against_counting(spark):
     texts = {f"k{i}": [f"w{j}" for j in range(40) if (i * j) % 7 == 0] * (1 + i % 2) + (["a" * 300] if i % 3 == 0 else []) for i in range(60)}
     texts["empty"] = []
