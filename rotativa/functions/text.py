@@ -9,14 +9,14 @@ from rotativa.fixed import UNWANTED_CHARACTERS, UNWANTED_CHARACTERS_LOWER
 # Entities found in headline markup; the ampersand is last so that an escaped
 # entity is decoded once only.
 ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("&lt", "<"),
+    ("&gt", ">"),
+    ("&quot", '"'),
+    ("&#39", "'"),
+    ("&nbsp", "\u00a0"),
+    ("&copy", "©"),
+    ("&middot", "·"),
+    ("&amp", "&"),
 )
 
 
@@ -38,8 +38,9 @@ def title_case(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
+    """Decode entities; the semicolon may be missing before anything but a letter or digit."""
     for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
+        text = F.regexp_replace(text, entity + "(?:;|(?![0-9A-Za-z]))", character)
     return text
 
 
@@ -47,6 +48,7 @@ def node_text(markup: Column) -> Column:
     """Text of a piece of markup: its stripped text pieces joined without a separator."""
     pieces = F.split(markup, r"<[^>]*>")
     stripped = F.transform(
-        pieces, lambda piece: F.regexp_replace(decode_entities(piece), r"^[\s ]+|[\s ]+$", "")
+        pieces,
+        lambda piece: F.regexp_replace(decode_entities(piece), r"^[\s\u00a0]+|[\s\u00a0]+$", ""),
     )
     return F.array_join(stripped, "")

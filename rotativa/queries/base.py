@@ -114,17 +114,20 @@ raw_pages AS (
 
 
 def decoded(text: str) -> str:
-    """SQL for ``text`` with its entities decoded and surrounding space removed."""
+    """SQL for ``text`` with its entities decoded and surrounding space removed.
+
+    A title cut off inside a page may end with an entity that lost its semicolon.
+    """
     for entity, character in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "''"),
-        ("&copy;", "©"),
-        ("&middot;", "·"),
-        ("&amp;", "&"),
+        ("&lt", "<"),
+        ("&gt", ">"),
+        ("&quot", '"'),
+        ("&#39", "''"),
+        ("&copy", "©"),
+        ("&middot", "·"),
+        ("&amp", "&"),
     ):
-        text = f"replace({text}, '{entity}', '{character}')"
+        text = f"regexp_replace({text}, '{entity}(;|$)', '{character}', 'g')"
     return f"trim({text})"
 
 

@@ -115,11 +115,13 @@ def test_clean_text_collapsed(column):
 
 
 def test_node_text_joins_stripped_pieces(column):
-    assert column(text.node_text, "Hola <b>mundo</b>", " A &amp; B <i> C </i>", "&amp;lt;", "x &nbsp;") == [
+    assert column(text.node_text, "Hola <b>mundo</b>", " A &amp; B <i> C </i>", "&amp;lt;", "x &nbsp;", "corte &amp", "&ampx &am") == [
         "Holamundo",
         "A & BC",
         "&lt;",
         "x",
+        "corte &",
+        "&ampx &am",
     ]
 
 
