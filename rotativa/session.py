@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,41 +33,35 @@ def build_session(app_name: str = "rotativa", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"rotativa-{application}-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A local session without the setting gets a folder under the system's
-    temporary folder; a cluster without it is an error, because a machine-local
-    folder would lose data with its executor.
+    Without ``spark.checkpoint.dir`` it lies in the warehouse, which executors
+    and driver share as well; a machine's own temporary folder is never used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder(spark.sparkContext.applicationId)
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_working"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder (nothing is created yet)."""
-    return f"{shared_folder(spark)}/rotativa/{purpose}-{uuid.uuid4().hex}"
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores when a small file has fewer splits than there are cores.
+    """A fresh path below the shared folder (nothing is created yet).
 
-    Text work costs far more than moving a few megabytes.  A table of cluster
-    size has more splits than cores and is returned as it is.
+    It belongs to the application: what is left in it goes when that ends.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if len(rows.inputFiles()) >= cores or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
+    path = f"{shared_folder(spark)}/rotativa/{purpose}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.mkdirs(place.getParent())
+    system.deleteOnExit(place)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``new_folder`` that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
