@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 # Texts are taken from an Arrow batch in slices of about so many bytes.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 4_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -45,32 +45,26 @@ def small(rows: DataFrame, count: int) -> DataFrame:
     return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
 
 
-def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of bounded text size, a longer text alone; NULL becomes the empty text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes)
+def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of bounded text size, a longer text alone, with their texts as bytes; NULL is the empty text."""
+    texts = pc.fill_null(pc.cast(batch.column(column), pa.large_binary()), b"")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0
-    while start < len(sizes):
-        before = ends[start] - sizes[start]
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-        part = batch.slice(start, end - start)
-        yield part, [text or "" for text in part.column(column).to_pylist()]
+        yield batch.slice(start, end - start), texts.slice(start, end - start)
         start = end
 
 
-def over_texts(
-    function: Callable[[list[str]], dict[str, np.ndarray | pa.Array | list]], keep: tuple[str, ...], column: str = "text"
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For ``mapInArrow``: kept columns, then those that a function computes from whole texts."""
+def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts one after the other, and where each begins, with the end at last."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_slices(batch, column):
-                made = function(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(name) for name in keep]
-                    + [values if isinstance(values, pa.Array) else pa.array(values) for values in made.values()],
-                    names=[*keep, *made],
-                )
 
-    return run
+def column_types(rows: DataFrame, *names: str) -> list[str]:
+    """Schema entries of columns that a function over batches passes on."""
+    return [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in names]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.llm import mixing
+from rotativa.llm import mixing, prefix_counts, quality, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +30,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sizes = mixing.document_sizes(table(spark, folder, "documents"))
     return mixing.mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return unigram.encode_texts(table(spark, folder, "documents"), ("doc_id",))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, folder, "labels")))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_counts.token_counts(table(spark, folder, "documents"), ("doc_id",))
