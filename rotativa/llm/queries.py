@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.llm import mixing, prefix_counts, quality, unigram
+from rotativa.llm import golay, mixing, prefix_counts, quality, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,8 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_counts.token_counts(table(spark, folder, "documents"), ("doc_id",))
+
+
+@query("op5_simhash_golay")
+def op5_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
+    return golay.near_duplicates(table(spark, folder, "documents"))
