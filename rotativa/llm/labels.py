@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from rotativa.llm.common import fold, small
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int) -> DataFrame:
-    """Documents (doc_id, text, label) of at most ``rows`` labelled ids, held-out ids left out.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Documents (doc_id, text, kept columns, label) of at most ``rows`` labelled ids, held-out ids left out.
 
     The ids are those with the smallest hashes, so any run and any size of table
     draws them alike.  Labels other than 0 and 1 and NULL ids are not used; an id
@@ -23,4 +25,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(small(ids, rows), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    return (
+        docs.select("doc_id", "text", *keep)
+        .join(small(ids, rows), F.col("doc_id") == F.col("_id"))
+        .select("doc_id", "text", *keep, "label")
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.llm import golay, mixing, prefix_counts, quality, unigram
+from rotativa.llm import golay, mixing, prefix_counts, quality, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_simhash_golay")
 def op5_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return golay.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, folder, "labels")))
