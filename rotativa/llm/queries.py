@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.llm import golay, mixing, prefix_counts, quality, toxicity, unigram
+from rotativa.llm import golay, hnsw, mixing, prefix_counts, quality, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op5_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, folder, "labels")))
+
+
+@query("op7_hnsw")
+def op7_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest(table(spark, folder, "embeddings"), "vec_id", "embedding", every=50)
