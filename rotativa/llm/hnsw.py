@@ -209,7 +209,7 @@ def build_index(rows: DataFrame, id_: str, vector: str, copies: int, shard_rows:
         F.size("vector").alias("size"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids"
     )
 
-    def graph(key, table: pa.Table) -> pa.Table:
+    def graph(key, table):
         order = np.argsort([ids[0] for ids in table.column("ids").to_pylist()], kind="stable")
         table = table.take(pa.array(order)).combine_chunks()
         points = matrix(table.column("vector").combine_chunks())
