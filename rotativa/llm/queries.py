@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.llm import golay, hnsw, mixing, prefix_counts, quality, toxicity, unigram
+from rotativa.llm import cover_tree, golay, hnsw, mixing, prefix_counts, quality, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_hnsw")
 def op7_hnsw(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.nearest(table(spark, folder, "embeddings"), "vec_id", "embedding", every=50)
+
+
+@query("op3_cover_tree")
+def op3_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding")
