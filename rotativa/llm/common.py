@@ -40,9 +40,9 @@ def identified(rows: DataFrame, purpose: str, name: str = "_row") -> DataFrame:
     return stored(rows.withColumn(name, F.monotonically_increasing_id()), purpose)
 
 
-def small(rows: DataFrame, count: int) -> DataFrame:
+def small(rows: DataFrame, count: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """A side of a join, sent to all tasks only if its counted size allows it."""
-    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
+    return F.broadcast(rows) if count <= most else rows
 
 
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

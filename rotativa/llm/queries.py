@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotativa.llm import chat_tree, cover_tree, golay, hnsw, mixing, prefix_counts, quality, toxicity, unigram
+from rotativa.llm import chat_tree, cover_tree, golay, hnsw, line_dedup, mixing, prefix_counts, quality, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,10 @@ def op4_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat_tree.read_back(chat_tree.format_conversations(turns))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.without_repeats(table(spark, folder, "documents")).select(
+        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), "text"
+    )
