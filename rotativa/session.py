@@ -72,4 +72,12 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """
     path = new_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table.working_folder = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that no later result reads."""
+    for table in tables:
+        remove_folder(table.sparkSession, table.working_folder)
