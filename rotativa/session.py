@@ -81,3 +81,9 @@ def discard(*tables: DataFrame) -> None:
     """Remove stored tables that no later result reads."""
     for table in tables:
         remove_folder(table.sparkSession, table.working_folder)
+
+
+def reading(result: DataFrame, *tables: DataFrame) -> DataFrame:
+    """The result, naming the stored tables it still reads: once it is written they can be discarded."""
+    result.working_tables = tables
+    return result
