@@ -69,3 +69,33 @@ WANTED_CHARACTER = "[a-zA-ZáéíóúñÁÉÍÓÚÑ ]"
 UNWANTED_CHARACTERS_LOWER = r"[^a-záéíóúñ\s]"
 NUM_FEATURES = 10000
 MAX_ITERATIONS = 10
+
+# --- fixed values: tags whose text counts as a title, tags without content, tags whose text is not shown ---
+TITLE_TAGS = ("a", "h1", "h2", "h3", "h4")
+EMPTY_TAGS = (
+    "area",
+    "base",
+    "basefont",
+    "bgsound",
+    "br",
+    "col",
+    "command",
+    "embed",
+    "frame",
+    "hr",
+    "image",
+    "img",
+    "input",
+    "isindex",
+    "keygen",
+    "link",
+    "menuitem",
+    "meta",
+    "nextid",
+    "param",
+    "source",
+    "spacer",
+    "track",
+    "wbr",
+)
+SILENT_TAGS = ("script", "style", "template", "rt", "rp")

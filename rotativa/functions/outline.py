@@ -1,48 +1,45 @@
-"""Outline of a page: its elements as an array, so that Spark can query them.
+"""Outline of a page: its elements and its text, as arrays that Spark can query.
 
 An outline lists a page's elements in document order.  ``size`` counts an
 element and all listed elements inside it, so the inside of the element at
 position ``pos`` is one slice of the array, and every headline rule is a filter
 over such a slice, written with Spark's array functions.  Only titles, links,
-articles and elements with a class are listed; only titles, links and category
-elements carry their text.
+articles and elements with a class are listed.
+
+The page's text is one list of pieces, each what stands between two tags or
+comments, without surrounding space.  An element names its first piece and how
+many it has, so a page takes memory in proportion to its size however many
+elements are left open, and text is put together for the chosen elements only.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
-from rotativa.fixed import GENERIC_CATEGORY_CLASSES
+from rotativa.fixed import EMPTY_TAGS, SILENT_TAGS, TITLE_TAGS
 
 # Send this module's functions to the executors with the plan, so that a job
 # needs no installed package there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTLINE = (
-    "array<struct<pos: int, size: int, tag: string, cls: string, href: string, text: string, "
-    "category: string, section: string, subsection: string>>"
-)
-_OUTLINE_ARROW = pa.list_(
-    pa.struct(
-        [("pos", pa.int32()), ("size", pa.int32())]
-        + [
-            (name, pa.string())
-            for name in ("tag", "cls", "href", "text", "category", "section", "subsection")
-        ]
-    )
+    "struct<pieces: array<string>, elements: array<struct<pos: int, size: int, tag: string, cls: string, "
+    "href: string, piece: int, pieces: int, category: string, section: string, subsection: string>>>"
 )
-_TITLE_TAGS = frozenset(("a", "h1", "h2", "h3", "h4"))
-_KEPT_TAGS = _TITLE_TAGS | {"article"}
-_EMPTY_TAGS = frozenset(
-    "area base br col embed hr img input keygen link menuitem meta param source track wbr basefont "
-    "bgsound command frame image isindex nextid spacer".split()
+_ELEMENT = pa.struct(
+    [("pos", pa.int32()), ("size", pa.int32())]
+    + [(name, pa.string()) for name in ("tag", "cls", "href")]
+    + [("piece", pa.int32()), ("pieces", pa.int32())]
+    + [(name, pa.string()) for name in ("category", "section", "subsection")]
 )
-_SILENT_TAGS = frozenset(("script", "style", "template", "rt", "rp"))
+_OUTLINE_ARROW = pa.struct([("pieces", pa.list_(pa.string())), ("elements", pa.list_(_ELEMENT))])
+_KEPT_TAGS = frozenset((*TITLE_TAGS, "article"))
 
 
 class _Outline(HTMLParser):
@@ -52,10 +49,13 @@ class _Outline(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.elements: list[dict] = []
         self.open: list[tuple[str, dict | None]] = []
-        self.wanting: list[dict] = []  # open elements whose text is needed
+        self.open_tags: Counter[str] = Counter()
+        self.pieces: list[str] = []
+        self.pending: list[str] = []  # text since the last tag or comment, in the parts the parser gives
         self.silent = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_piece()
         values = {name: value or "" for name, value in attrs}
         cls = " ".join(values["class"].split()) if "class" in values else None
         element = None
@@ -66,62 +66,62 @@ class _Outline(HTMLParser):
                 "tag": tag,
                 "cls": cls,
                 "href": values.get("href"),
+                "piece": len(self.pieces) + 1,
+                "pieces": 0,
                 "category": values.get("data-category"),
                 "section": values.get("data-seccion"),
                 "subsection": values.get("data-subseccion"),
-                "text": None,
             }
             self.elements.append(element)
-            if tag in _TITLE_TAGS or any(mark in (cls or "") for mark in GENERIC_CATEGORY_CLASSES):
-                element["text"] = []
-        if tag in _EMPTY_TAGS:
-            if element:
-                self._close(element)
-            return
-        if element and element["text"] is not None:
-            self.wanting.append(element)
-        self.silent += tag in _SILENT_TAGS
-        self.open.append((tag, element))
+        if tag not in EMPTY_TAGS:
+            self.silent += tag in SILENT_TAGS
+            self.open_tags[tag] += 1
+            self.open.append((tag, element))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in _EMPTY_TAGS:
+        if tag not in EMPTY_TAGS:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if any(name == tag for name, _ in reversed(self.open)):  # a stray end tag closes nothing
+        self._end_piece()
+        if self.open_tags[tag]:  # a stray end tag closes nothing
             while self._close_last() != tag:
                 pass
 
     def handle_data(self, data: str) -> None:
-        if self.wanting and not self.silent:
-            piece = data.strip()
-            if piece:
-                for element in self.wanting:
-                    element["text"].append(piece)
+        if not self.silent:
+            self.pending.append(data)
+
+    def handle_comment(self, data: str) -> None:
+        self._end_piece()
 
-    def finish(self) -> list[dict]:
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def finish(self) -> dict:
         self.close()
+        self._end_piece()
         while self.open:
             self._close_last()
-        return self.elements
+        return {"pieces": self.pieces, "elements": self.elements}
+
+    def _end_piece(self) -> None:
+        piece = "".join(self.pending).strip()
+        self.pending.clear()
+        if piece:
+            self.pieces.append(piece)
 
     def _close_last(self) -> str:
         tag, element = self.open.pop()
-        self.silent -= tag in _SILENT_TAGS
+        self.open_tags[tag] -= 1
+        self.silent -= tag in SILENT_TAGS
         if element:
-            if self.wanting and self.wanting[-1] is element:
-                self.wanting.pop()
-            self._close(element)
+            element["size"] = len(self.elements) - element["pos"] + 1
+            element["pieces"] = len(self.pieces) - element["piece"] + 1
         return tag
 
-    def _close(self, element: dict) -> None:
-        element["size"] = len(self.elements) - element["pos"] + 1
-        if element["text"] is not None:
-            element["text"] = "".join(element["text"])
 
-
-def _outline(html: str | None) -> list[dict] | None:
+def _outline(html: str | None) -> dict | None:
     if html is None:
         return None
     try:
@@ -139,3 +139,13 @@ def _outlines(html: pa.Array) -> pa.Array:
 def page_outline(html: Column) -> Column:
     """Outline of a page, NULL when there is no page or it cannot be parsed."""
     return F.arrow_udf(_outlines, OUTLINE)(html)
+
+
+def element_text(pieces: Column, element: Column) -> Column:
+    """The text of an element, NULL when there is no element."""
+    return F.array_join(F.slice(pieces, element["piece"], element["pieces"]), "")
+
+
+def page_text(outline: Column) -> Column:
+    """All text of a page."""
+    return F.array_join(outline["pieces"], "")

@@ -1,7 +1,7 @@
 """Headline extraction from page outlines.
 
-A page outline (``functions.outline.page_outline``) is an array; each markup profile
-is a Column expression from that array to an array of
+A page outline (``functions.outline.page_outline``) holds arrays of elements and of text; each
+markup profile is a Column expression from it to an array of
 ``categoria, titular, enlace`` in document order.  Pages are never shuffled:
 extraction, filters and in-page duplicate elimination all happen in the row.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rotativa import fixed
 from rotativa.fixed import EL_ESPECTADOR, EL_TIEMPO, Site
 from rotativa.functions.links import absolute_link, contains_any, has_path, is_site_link, url_category
-from rotativa.functions.outline import page_outline
+from rotativa.functions.outline import element_text, page_outline
 from rotativa.functions.paths import (
     SOURCE_DOMAINS,
     SOURCE_NAMES,
@@ -33,7 +33,11 @@ Predicate = Callable[[Column], Column]
 
 def inside(outline: Column, element: Column) -> Column:
     """The elements inside an element."""
-    return F.slice(outline, element["pos"] + 1, element["size"] - 1)
+    return F.slice(outline["elements"], element["pos"] + 1, element["size"] - 1)
+
+
+def text(outline: Column, element: Column) -> Column:
+    return element_text(outline["pieces"], element)
 
 
 def first(elements: Column, wanted: Predicate) -> Column:
@@ -93,7 +97,7 @@ def has_denied_prefix(title: Column, prefixes: Sequence[str] = fixed.DENIED_TITL
 
 def strict_articles(outline: Column, site: Site = EL_TIEMPO) -> Column:
     """Articles in the strict markup: title link inside an ``h2`` or else an ``h3``."""
-    articles = F.filter(outline, both(is_tag("article"), has_class_like(fixed.STRICT_ARTICLE_CLASS)))
+    articles = F.filter(outline["elements"], both(is_tag("article"), has_class_like(fixed.STRICT_ARTICLE_CLASS)))
 
     def title_link(article: Column) -> Column:
         content = inside(outline, article)
@@ -119,7 +123,7 @@ def strict_articles(outline: Column, site: Site = EL_TIEMPO) -> Column:
         found,
         lambda hit: _item(
             hit["category"],
-            hit["link"]["text"],
+            text(outline, hit["link"]),
             absolute_link(F.coalesce(hit["link"]["href"], F.lit("")), site.base_url),
         ),
     )
@@ -132,7 +136,7 @@ def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool =
     ``exact_address`` strips only the site's own address before the category is
     read from a link; otherwise any scheme and host are stripped.
     """
-    blocks = F.filter(outline, both(is_tag("div"), has_class_like(fixed.CARD_CLASS)))
+    blocks = F.filter(outline["elements"], both(is_tag("div"), has_class_like(fixed.CARD_CLASS)))
     contents = F.transform(blocks, lambda block: inside(outline, block))
     parts = F.transform(
         contents,
@@ -144,7 +148,7 @@ def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool =
     )
 
     def own_text(element: Column) -> Column:
-        return F.coalesce(first(inside(outline, element), is_tag("a"))["text"], element["text"])
+        return F.coalesce(text(outline, first(inside(outline, element), is_tag("a"))), text(outline, element))
 
     items = F.transform(
         parts,
@@ -153,7 +157,7 @@ def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool =
                 own_text(part["section"]),
                 url_category(part["link"]["href"], site if exact_address else None),
             ),
-            F.coalesce(own_text(part["title"]), part["link"]["text"]),
+            F.coalesce(own_text(part["title"]), text(outline, part["link"])),
             part["link"]["href"],
         ),
     )
@@ -165,11 +169,13 @@ def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool =
 
 def heading_links(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True) -> Column:
     """Headings that hold a link to the site."""
-    headings = F.filter(outline, is_tag("h1", "h2", "h3", "h4"))
+    headings = F.filter(outline["elements"], is_tag("h1", "h2", "h3", "h4"))
     links = F.transform(headings, lambda heading: first(inside(outline, heading), is_link))
     items = F.transform(
         links,
-        lambda link: _item(url_category(link["href"], site if exact_address else None), link["text"], link["href"]),
+        lambda link: _item(
+            url_category(link["href"], site if exact_address else None), text(outline, link), link["href"]
+        ),
     )
     return F.filter(items, lambda item: is_site_link(item["enlace"], site) & is_long_title(item["titular"]))
 
@@ -184,8 +190,8 @@ def cards_and_headings(outline: Column, site: Site = EL_ESPECTADOR, *, exact_add
 
 def _blocks(outline: Column) -> Column:
     """Articles, or the blocks with an article-like class when there is no article."""
-    articles = F.filter(outline, is_tag("article"))
-    divisions = F.filter(outline, both(is_tag("div"), has_class_like(*fixed.GENERIC_BLOCK_CLASSES)))
+    articles = F.filter(outline["elements"], is_tag("article"))
+    divisions = F.filter(outline["elements"], both(is_tag("div"), has_class_like(*fixed.GENERIC_BLOCK_CLASSES)))
     return F.when(F.size(articles) > 0, articles).otherwise(divisions)
 
 
@@ -195,13 +201,13 @@ def _block_items(outline: Column, blocks: Column, title_link: Predicate, site: S
     def parts(block: Column) -> Column:
         content = inside(outline, block)
         return F.struct(
-            F.when(block["tag"] == "a", block["text"])
+            F.when(block["tag"] == "a", text(outline, block))
             .otherwise(
                 F.coalesce(
-                    first(content, is_tag("h1"))["text"],
-                    first(content, is_tag("h2"))["text"],
-                    first(content, is_tag("h3"))["text"],
-                    first(content, title_link)["text"],
+                    text(outline, first(content, is_tag("h1"))),
+                    text(outline, first(content, is_tag("h2"))),
+                    text(outline, first(content, is_tag("h3"))),
+                    text(outline, first(content, title_link)),
                     F.lit(""),
                 )
             )
@@ -210,7 +216,7 @@ def _block_items(outline: Column, blocks: Column, title_link: Predicate, site: S
             .otherwise(F.coalesce(first(content, is_link)["href"], F.lit("")))
             .alias("link"),
             F.coalesce(
-                first(content, has_class_like(*fixed.GENERIC_CATEGORY_CLASSES))["text"],
+                text(outline, first(content, has_class_like(*fixed.GENERIC_CATEGORY_CLASSES))),
                 F.lit(fixed.DEFAULT_CATEGORY),
             ).alias("category"),
         )
@@ -235,7 +241,7 @@ def generic_articles_or_links(
 ) -> Column:
     """Article blocks, or every link when there is none; the first item of each title is kept."""
     blocks = _blocks(outline)
-    blocks = F.when(F.size(blocks) > 0, blocks).otherwise(F.filter(outline, is_link))
+    blocks = F.when(F.size(blocks) > 0, blocks).otherwise(F.filter(outline["elements"], is_link))
     items = F.filter(
         _block_items(outline, blocks, is_tag("a"), site),
         lambda item: is_long_title(item["titular"], longer_than) & ~has_denied_prefix(item["titular"]),
