@@ -47,8 +47,10 @@ def detect_source(text: Column, patterns: Sequence[tuple[str, str]] = SOURCE_NAM
 
 def date_in_name(path: Column) -> Column:
     """The first valid ``YYYY-MM-DD`` in a file name, else NULL."""
-    found = F.regexp_extract(last_segment(path), r"(\d{4}-\d{2}-\d{2})", 1)
-    return F.try_to_date(F.nullif(found, F.lit("")), "yyyy-MM-dd")
+    # a look-ahead, so that a date that begins inside another match is found as well
+    found = F.regexp_extract_all(last_segment(path), F.lit(r"(?=(\d{4}-\d{2}-\d{2}))"), F.lit(1))
+    dates = F.transform(found, lambda text: F.try_to_date(text, "yyyy-MM-dd"))
+    return F.get(F.filter(dates, lambda date: date.isNotNull()), F.lit(0))
 
 
 def partition_levels(path: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, StringIndexer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, StringIndexer, StringIndexerModel, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,6 +65,11 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 
 
+def for_scoring(model: PipelineModel) -> PipelineModel:
+    """The fitted stages without the label index, for rows that have no label."""
+    return PipelineModel([stage for stage in model.stages if not isinstance(stage, StringIndexerModel)])
+
+
 def with_probability_text(predictions: DataFrame) -> DataFrame:
     """The probability vector as text, for files that cannot hold a vector."""
     return predictions.withColumn("probability_str", F.col("probability").cast("string"))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.fixed import UNIQUE_TITLE_CHARACTERS
+from rotativa.functions.values import once
 
 # The sink compares text without case, accents and trailing spaces.
 SINK_COLLATION = "UNICODE_CI_AI_RTRIM"
@@ -30,11 +31,6 @@ def one_per_title_and_date(news: DataFrame) -> DataFrame:
     return first_per_key(news, ["titular", "fecha"], ["periodico", "categoria", "enlace"])
 
 
-def any_per_title_and_date(news: DataFrame) -> DataFrame:
-    """Same keys, whichever row comes first; cheaper, but not repeatable."""
-    return news.dropDuplicates(["titular", "fecha"])
-
-
 def _with_sink_key(news: DataFrame, collation: str) -> DataFrame:
     title = F.left("titular", F.lit(UNIQUE_TITLE_CHARACTERS))
     return news.withColumns(
@@ -77,11 +73,11 @@ def first_in_page(items: Column, key: str) -> Column:
     and position, repeated keys are dropped, and the order is restored.
     """
     placed = F.transform(items, lambda item, i: F.struct(item[key].alias("key"), i.alias("at"), item.alias("item")))
-    ordered = F.sort_array(placed)
-    paired = F.zip_with(
-        ordered,
-        F.concat(F.array(F.get(ordered, F.lit(0))), ordered),
-        lambda this, before: F.struct(this["at"].alias("at"), this["item"].alias("item"), ((this["at"] == before["at"]) | (this["key"] != before["key"])).alias("first")),
-    )
-    kept = F.filter(paired, lambda pair: pair["first"])
+
+    def firsts(ordered: Column) -> Column:
+        return F.filter(
+            ordered, lambda item, i: (i == 0) | (item["key"] != F.get(ordered, F.greatest(i - 1, F.lit(0)))["key"])
+        )
+
+    kept = once(F.sort_array(placed), firsts)
     return F.transform(F.sort_array(F.transform(kept, lambda pair: F.struct(pair["at"], pair["item"]))), lambda pair: pair["item"])

@@ -23,6 +23,7 @@ from rotativa.functions.paths import (
     detect_source,
     file_base_name,
 )
+from rotativa.functions.values import once
 from rotativa.operators.dedupe import first_in_page
 
 Predicate = Callable[[Column], Column]
@@ -192,7 +193,12 @@ def _blocks(outline: Column) -> Column:
     """Articles, or the blocks with an article-like class when there is no article."""
     articles = F.filter(outline["elements"], is_tag("article"))
     divisions = F.filter(outline["elements"], both(is_tag("div"), has_class_like(*fixed.GENERIC_BLOCK_CLASSES)))
-    return F.when(F.size(articles) > 0, articles).otherwise(divisions)
+    return _either(articles, divisions)
+
+
+def _either(preferred: Column, other: Column) -> Column:
+    """The preferred elements, or the other ones when there is none."""
+    return once(preferred, lambda found: F.when(F.size(found) > 0, found).otherwise(other))
 
 
 def _block_items(outline: Column, blocks: Column, title_link: Predicate, site: Site) -> Column:
@@ -240,8 +246,7 @@ def generic_articles_or_links(
     outline: Column, site: Site = EL_ESPECTADOR, *, longer_than: int = fixed.MIN_TITLE_LENGTH
 ) -> Column:
     """Article blocks, or every link when there is none; the first item of each title is kept."""
-    blocks = _blocks(outline)
-    blocks = F.when(F.size(blocks) > 0, blocks).otherwise(F.filter(outline["elements"], is_link))
+    blocks = _either(_blocks(outline), F.filter(outline["elements"], is_link))
     items = F.filter(
         _block_items(outline, blocks, is_tag("a"), site),
         lambda item: is_long_title(item["titular"], longer_than) & ~has_denied_prefix(item["titular"]),
@@ -261,12 +266,11 @@ def page_items_by_markup(
     exact_address: bool = True,
 ) -> Column:
     """Site-specific profiles; an unknown source tries the strict one first."""
-    strict = strict_articles(outline, strict_site)
+    strict = F.when(source != card_site.name, strict_articles(outline, strict_site))
     carded = cards_and_headings(outline, card_site, exact_address=exact_address)
-    return (
-        F.when(source == strict_site.name, strict)
-        .when(source == card_site.name, carded)
-        .otherwise(F.when(F.size(strict) > 0, strict).otherwise(carded))
+    return once(
+        strict,
+        lambda found: F.when((source == strict_site.name) | (F.size(found) > 0), found).otherwise(carded),
     )
 
 
@@ -295,9 +299,32 @@ def headlines_of(pages: DataFrame, items: Column) -> DataFrame:
     )
 
 
-def with_source(pages: DataFrame, names: Sequence[tuple[str, str]] = SOURCE_NAMES) -> DataFrame:
-    """Source by file name."""
-    return pages.withColumn("periodico", detect_source(file_base_name(F.col("path")), names))
+def with_source(
+    pages: DataFrame,
+    names: Sequence[tuple[str, str]] = SOURCE_NAMES,
+    domains: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Source by file name; with ``domains``, a name that tells nothing leaves it to the page."""
+    named = detect_source(file_base_name(F.col("path")), names)
+    if domains is not None:
+        named = F.when(named == fixed.UNKNOWN_SOURCE, detect_source(F.col("html"), domains)).otherwise(named)
+    return pages.withColumn("periodico", named)
+
+
+def rejected(pages: DataFrame, items: Column) -> DataFrame:
+    """``path, reason`` of the pages that give no headline; the others are left out.
+
+    ``pages`` has ``path, html`` as decoded, with its ``outline``; ``items`` is the extraction.
+    """
+    html = F.col("html")
+    reason = (
+        F.when(html.isNull(), "not decodable")
+        .when(html == "", "empty")
+        .when(F.col("outline").isNull(), "not parsed")
+        .when(F.coalesce(F.size(items) > 0, F.lit(False)), F.lit(None).cast("string"))
+        .otherwise("no headline")
+    )
+    return pages.select("path", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def with_source_from_content(pages: DataFrame, domains: Sequence[tuple[str, str]] = SOURCE_DOMAINS) -> DataFrame:
@@ -312,11 +339,15 @@ def stamp(headlines: DataFrame, run_date: str | None = None, *, always_run_date:
     return headlines.withColumn("fecha", fallback if always_run_date else F.coalesce(named, fallback))
 
 
-def page_census(pages: DataFrame, site: Site = EL_ESPECTADOR) -> DataFrame:
-    """Per page: size, links, cards and links to the site, straight from the markup."""
+def page_census(pages: DataFrame, items: Column, site: Site = EL_ESPECTADOR) -> DataFrame:
+    """Per page: size, links, cards and links to the site straight from the markup, and the headlines extracted.
+
+    ``items`` is one of the profiles over the page's ``outline``.
+    """
     html = F.col("html")
-    return pages.select(
+    return pages.withColumn("outline", page_outline(html)).select(
         "page_id",
+        F.greatest(F.size(items), F.lit(0)).cast("bigint").alias("headlines"),
         F.char_length(html).cast("bigint").alias("html_length"),
         F.regexp_count(html, F.lit(r"(?i)<a\s[^>]*href")).cast("bigint").alias("links"),
         F.regexp_count(html, F.lit(r'(?i)<div\s[^>]*class="[^"]*Card')).cast("bigint").alias("cards"),

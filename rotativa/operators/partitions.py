@@ -95,9 +95,22 @@ def recreate_table(spark: SparkSession, database: str, table: str, location: str
     )
 
 
-def repair_partitions(spark: SparkSession, database: str, table: str) -> None:
-    """Register every partition folder that is not registered yet; none is dropped."""
+def repair_partitions(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """Register every partition folder that is not registered yet, and return those; none is dropped."""
+    before = registered_partitions(spark, database, table)
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}` ADD PARTITIONS")
+    return partitions_missing(registered_partitions(spark, database, table), before)
+
+
+def table_report(spark: SparkSession, database: str) -> DataFrame:
+    """Each table of a database: name, location, partition keys, number of partitions."""
+    rows = []
+    for entry in spark.catalog.listTables(f"`{database}`"):
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED `{database}`.`{entry.name}`").collect()}
+        keys = [c.name for c in spark.catalog.listColumns(f"`{database}`.`{entry.name}`") if c.isPartition]
+        count = spark.sql(f"SHOW PARTITIONS `{database}`.`{entry.name}`").count() if keys else 0
+        rows.append((entry.name, described.get("Location"), ",".join(keys), count))
+    return spark.createDataFrame(rows, "table STRING, location STRING, keys STRING, partitions BIGINT")
 
 
 def registered_partitions(spark: SparkSession, database: str, table: str) -> DataFrame:

@@ -8,17 +8,7 @@ from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rotativa.fixed import NUM_FEATURES
-
-# Terms that occur in most texts are joined by broadcast.  Whatever the data,
-# at most this many terms of at most this length are sent to the executors (16 MB
-# in all), and no other term of that length can hold more than 1/COMMON_TERMS of
-# all rows.  Longer terms are left to the skew handling of adaptive execution.
-COMMON_TERMS = 1000
-COMMON_TERM_LENGTH = 4096
-
-# A classifier holds one row of coefficients per label on the driver.
-MAX_LABELS = 10_000
-
+from rotativa.session import reading, stored
 
 def with_words(rows: DataFrame, text: str = "clean_text") -> DataFrame:
     return Tokenizer(inputCol=text, outputCol="words").transform(rows)
@@ -66,44 +56,36 @@ def term_frequencies(rows: DataFrame, key: str, words: str = "words") -> DataFra
     return runs.select(key, F.inline(counted))
 
 
-def document_frequencies(rows: DataFrame, words: str = "words") -> DataFrame:
-    """``term, df``: in how many texts a term occurs; counted before the shuffle."""
-    terms = rows.select(F.explode_outer(F.array_distinct(words)).alias("term"))
-    return terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
-
-
 def tfidf_terms(rows: DataFrame, key: str, words: str = "words") -> DataFrame:
     """Exact TF-IDF: ``key, term, tf, df, tfidf`` of every term of every text (one row per key).
 
-    Term rows need the document frequency of their term.  Rows of the most
-    common terms, usually most rows, take it from a broadcast of fixed size and
-    are not shuffled.  The other rows meet their frequency in a shuffled join, in
-    which no term is hot, because the hot ones were dealt with.
+    Texts are counted once: their terms are stored, the document frequency is
+    the number of stored rows of a term, and each row meets the one of its term
+    in a single join.  That side has one row per term, so adaptive execution
+    splits a term that holds a large part of all rows like any other skew.
     """
-    tf, df = term_frequencies(rows, key, words), document_frequencies(rows, words)
     texts = rows.agg(F.count("*")).scalar()
-    rank = F.when(F.length("term") <= COMMON_TERM_LENGTH, F.col("df")).otherwise(0)
-    common = F.broadcast(
-        df.orderBy(rank.desc(), "term").limit(COMMON_TERMS).where(F.length("term") <= COMMON_TERM_LENGTH)
-    )
-    found = tf.join(common, "term").unionByName(tf.join(common, "term", "left_anti").join(df, "term"))
+    tf = stored(term_frequencies(rows, key, words), "term-frequencies")
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = inverse_document_frequency(texts, F.col("df"))
-    return found.select(key, "term", "tf", "df", F.round(F.col("tf") * idf, 6).alias("tfidf"))
+    found = tf.join(df, "term").select(key, "term", "tf", "df", F.round(F.col("tf") * idf, 6).alias("tfidf"))
+    return reading(found, tf)
 
 
 def label_index(rows: DataFrame, label: str = "label") -> DataFrame:
     """Labels by frequency, ties by name: the index the classifier uses.
 
-    Labels are counted before they are ranked.  The ranking is one small task: no
-    more than ``MAX_LABELS`` labels reach it, and having more is an error.
+    Labels are counted, dealt to ranges in their order and stored.  A label's
+    index is its place in its range after the labels of all ranges before, so
+    no task sees more than one range, however many labels there are.
     """
     counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    counts = counts.orderBy(F.desc("n"), label).limit(MAX_LABELS + 1)
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), label)) - 1
-    return counts.select(
-        label,
-        "n",
-        F.when(rank < MAX_LABELS, rank.cast("double"))
-        .otherwise(F.raise_error(F.lit("too many labels")).cast("double"))
-        .alias("label_index"),
+    dealt = stored(
+        counts.repartitionByRange(F.desc("n"), F.col(label)).withColumn("_range", F.spark_partition_id()), "label-ranges"
     )
+    ranges = dealt.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = ranges.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("n"), label)) - 1
+    ranked = dealt.join(starts, "_range").select(label, "n", (F.col("_start") + place).cast("double").alias("label_index"))
+    return reading(ranked, dealt)

@@ -7,18 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rotativa.operators.classify import score, text_classifier
 from rotativa.operators.clean import classifier_rows
-from rotativa.operators.text_features import MAX_LABELS
-from rotativa.session import stored
+from rotativa.session import discard, reading, stored
 from rotativa.sinks.predictions import save_predictions
 
 
-def check_labels(rows: DataFrame, limit: int = MAX_LABELS) -> None:
-    """Raise when the rows have more labels than a classifier can hold on the driver."""
-    labels = rows.select("label").distinct().limit(limit + 1).count()
-    if labels > limit:
-        raise ValueError(f"more than {limit} labels")
-
-
 def train(headlines: DataFrame, *keep: str, label: str = "categoria", text: str = "titular", **options) -> tuple[PipelineModel, DataFrame]:
     """A classifier fitted on all rows, and its scores of those rows.
 
@@ -26,9 +18,8 @@ def train(headlines: DataFrame, *keep: str, label: str = "categoria", text: str
     stored once.
     """
     rows = stored(classifier_rows(headlines, *keep, label=label, text=text), "classifier-rows")
-    check_labels(rows)
     model = text_classifier(**options).fit(rows)
-    return model, score(model, rows)
+    return model, reading(score(model, rows), rows)
 
 
 def classify_headlines(headlines: DataFrame, output_base: str, model_path: str | None = None, **options) -> DataFrame:
@@ -36,7 +27,9 @@ def classify_headlines(headlines: DataFrame, output_base: str, model_path: str |
     model, predictions = train(headlines, **options)
     if model_path:
         model.write().overwrite().save(model_path)
-    return save_predictions(predictions, output_base)
+    saved = save_predictions(predictions, output_base)
+    discard(*predictions.working_tables)
+    return saved
 
 
 def label_distribution(rows: DataFrame, k: int = 20) -> DataFrame:

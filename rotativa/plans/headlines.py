@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rotativa.fixed import CSV_COLUMNS, EL_ESPECTADOR, EL_TIEMPO, PARTITION_COLUMNS, Site
+from rotativa.functions.outline import page_outline
 from rotativa.functions.paths import SOURCE_NAMES
 from rotativa.operators.extract import (
     headlines_of,
     page_items_by_markup,
     page_items_generic,
+    rejected,
     stamp,
-    with_outline,
     with_source,
 )
 from rotativa.operators.partitions import ensure_database, recreate_table, repair_partitions
 from rotativa.sinks.files import with_partition_columns, write_headline_files
 from rotativa.sources.pages import decode_pages, read_page_files, readable_pages
-from rotativa.streaming.ingest import append_stream, arriving_page_files
+from rotativa.streaming.ingest import arriving_page_files
 
 
 def extract_headlines(
@@ -32,38 +33,82 @@ def extract_headlines(
     exact_address: bool = True,
     sites: tuple[Site, Site] = (EL_TIEMPO, EL_ESPECTADOR),
     names: Sequence[tuple[str, str]] = SOURCE_NAMES,
+    domains: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Headline rows of ``pages`` (``path, html``), with their partition columns.
 
     ``generic`` picks the generic markup profiles instead of the site-specific ones.
+    ``domains`` finds the source of a page with an unknown name by what it mentions.
     ``always_run_date`` dates every row with the run instead of the file name.
     """
-    sourced = with_source(pages, names)
-    if generic:  # an unknown source has no generic profile: leave before parsing
+    outlined, items = _with_items(
+        pages, generic=generic, exact_address=exact_address, sites=sites, names=names, domains=domains
+    )
+    rows = stamp(headlines_of(outlined.drop("html"), items), run_date, always_run_date=always_run_date)
+    return with_partition_columns(rows).select(
+        "path", "position", *CSV_COLUMNS, *PARTITION_COLUMNS
+    )
+
+
+def _with_items(
+    pages: DataFrame,
+    *,
+    generic: bool = False,
+    exact_address: bool = True,
+    sites: tuple[Site, Site] = (EL_TIEMPO, EL_ESPECTADOR),
+    names: Sequence[tuple[str, str]] = SOURCE_NAMES,
+    domains: Sequence[tuple[str, str]] | None = None,
+    known_only: bool = True,
+) -> tuple[DataFrame, Column]:
+    """Pages with source and outline, and the expression of their headlines."""
+    sourced = with_source(pages, names, domains)
+    if generic and known_only:  # an unknown source has no generic profile: leave before parsing
         sourced = sourced.where(F.col("periodico").isin([site.name for site in sites]))
-    outlined = with_outline(sourced)
+    outlined = sourced.withColumn("outline", page_outline(F.col("html")))
     outline, source = F.col("outline"), F.col("periodico")
     items = (
         page_items_generic(outline, source, *sites)
         if generic
         else page_items_by_markup(outline, source, *sites, exact_address=exact_address)
     )
-    rows = stamp(headlines_of(outlined, items), run_date, always_run_date=always_run_date)
-    return with_partition_columns(rows).select(
-        "path", "position", *CSV_COLUMNS, *PARTITION_COLUMNS
-    )
+    return outlined, items
+
+
+def page_rejects(pages: DataFrame, **options) -> DataFrame:
+    """``path, reason`` of each page (``path, html`` as decoded) that gives no headline."""
+    return rejected(*_with_items(pages, known_only=False, **options))
+
 
+def process_pages(
+    spark: SparkSession, raw_root: str, output_root: str, run_date: str, rejects_root: str | None = None, **options
+) -> None:
+    """Read landed pages, extract their headlines and write the partitioned dataset.
 
-def process_pages(spark: SparkSession, raw_root: str, output_root: str, run_date: str, **options) -> None:
-    """Read landed pages, extract their headlines and write the partitioned dataset."""
-    pages = readable_pages(decode_pages(read_page_files(spark, raw_root)))
-    write_headline_files(extract_headlines(pages, run_date, **options), output_root)
+    Each page gives headlines or, with ``rejects_root``, a row there with the reason why not.
+    """
+    pages = decode_pages(read_page_files(spark, raw_root))
+    write_headline_files(extract_headlines(readable_pages(pages), run_date, **options), output_root)
+    if rejects_root:
+        options.pop("always_run_date", None)
+        page_rejects(pages, **options).write.mode("overwrite").parquet(rejects_root)
 
 
 def follow_pages(spark: SparkSession, raw_root: str, output_root: str, checkpoint: str, run_date: str, **options) -> StreamingQuery:
-    """Extract the headlines of the pages that have landed since the last run, each page once."""
-    pages = readable_pages(decode_pages(arriving_page_files(spark, raw_root)))
-    return append_stream(extract_headlines(pages, run_date, **options), output_root, checkpoint, *PARTITION_COLUMNS)
+    """Extract the headlines of the pages that have landed since the last run, into the same dataset.
+
+    A source's page of a day that lands again replaces that day, as in a batch run.
+    """
+
+    def write(pages: DataFrame, batch_id: int) -> None:
+        write_headline_files(extract_headlines(readable_pages(decode_pages(pages)), run_date, **options), output_root)
+
+    return (
+        arriving_page_files(spark, raw_root)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def refresh_catalog(spark: SparkSession, database: str, location: str, table: str = "headlines") -> DataFrame:

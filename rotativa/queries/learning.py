@@ -1,7 +1,9 @@
 """Classifier and topic queries.
 
-Hash buckets and fitted coefficients have no SQL counterpart; these queries are
-checked by their row counts and by the tests.
+Hash buckets and fitted coefficients have no SQL counterpart: such queries are
+checked by their row counts and by the tests.  What follows from the input
+alone (totals of hashed counts, rows and labels of scored texts, the metrics of
+a prediction that SQL can state) has an oracle.
 """
 
 from __future__ import annotations
@@ -9,33 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rotativa.operators import classify, text_features
+from rotativa.operators.clean import classifier_rows
 from rotativa.plans import classification
-from rotativa.queries.base import query, table
+from rotativa.queries.base import CLEAN, query, table
 from rotativa.queries.rows import headlines
-from rotativa.queries.text import texts
-from rotativa.session import new_folder, stored
+from rotativa.queries.text import STOPPED, texts
+from rotativa.session import new_folder, reading, stored
 from rotativa.sinks.predictions import PREDICTIONS, PREDICTIONS_WITH_PROBABILITY
+from rotativa.sources.headlines import CSV_OPTIONS
 
-_outputs: dict[tuple[str, str], str] = {}
 
+def _outputs(spark: SparkSession, folder: str) -> str:
+    """Fit and score all headlines; the folder of the three outputs."""
+    base = new_folder(spark, "predictions")
+    classification.classify_headlines(headlines(spark, folder), base)
+    return base
 
-def _output(spark: SparkSession, folder: str) -> str:
-    """Folder of the stored predictions; the classifier is fitted once per session and data set."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _outputs:
-        base = new_folder(spark, "predictions")
-        classification.classify_headlines(headlines(spark, folder), base)
-        _outputs[key] = base
-    return _outputs[key]
 
-
-def forget() -> None:
-    """Fit again on the next query; stored predictions stay where they are."""
-    _outputs.clear()
+def _predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{_outputs(spark, folder)}/predicciones_parquet")
 
 
-def _predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{_output(spark, folder)}/predicciones_parquet")
+def _extract(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.options(**CSV_OPTIONS).csv(f"{_outputs(spark, folder)}/{name}")
 
 
 def _entries(rows: DataFrame, vector: str) -> DataFrame:
@@ -61,14 +59,52 @@ def hashing_tfidf(spark, folder):
     return _entries(classify.text_features().fit(rows).transform(rows), "features")
 
 
+@query(
+    "hashing_tf_totals",
+    f"WITH {STOPPED} SELECT enlace, CAST(count(*) AS DOUBLE) AS n FROM stopped GROUP BY enlace",
+)
+def hashing_tf_totals(spark, folder):
+    """Words of each text, out of its hashed counts."""
+    entries = hashing_tf(spark, folder)
+    return entries.groupBy("enlace").agg(F.sum("value").alias("n"))
+
+
 @query("ml_predictions")
 def ml_predictions(spark, folder):
-    return spark.read.option("header", True).csv(f"{_output(spark, folder)}/{PREDICTIONS}")
+    return _extract(spark, folder, PREDICTIONS)
 
 
 @query("ml_predictions_prob")
 def ml_predictions_prob(spark, folder):
-    return spark.read.option("header", True).csv(f"{_output(spark, folder)}/{PREDICTIONS_WITH_PROBABILITY}")
+    return _extract(spark, folder, PREDICTIONS_WITH_PROBABILITY)
+
+
+@query(
+    "scored_label_totals",
+    f"""
+    WITH {CLEAN}, counts AS (SELECT label, count(*) AS n FROM clean GROUP BY label)
+    SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS label_index,
+           CAST((SELECT count(*) FROM counts) AS INTEGER) AS classes FROM counts
+    """,
+)
+def scored_label_totals(spark, folder):
+    """Rows of each label among the scored texts, its index, and the length of their probability vectors."""
+    rows = _predictions(spark, folder)
+    classes = F.size(F.unwrap_udt("probability")["values"])
+    return rows.groupBy("label").agg(
+        F.count("*").alias("n"), F.max("labelIndex").alias("label_index"), F.max(classes).alias("classes")
+    )
+
+
+@query(
+    "prediction_vector_text",
+    f"WITH {CLEAN} SELECT clean_text, count(*) AS n, CAST((SELECT count(DISTINCT label) FROM clean) AS INTEGER) AS parts FROM clean GROUP BY clean_text",
+)
+def prediction_vector_text(spark, folder):
+    """Rows of each text in the extract with probabilities, and how many numbers their text holds."""
+    rows = _extract(spark, folder, PREDICTIONS_WITH_PROBABILITY)
+    parts = F.size(F.split("probability_str", ","))
+    return rows.groupBy("clean_text").agg(F.count("*").alias("n"), F.max(parts).alias("parts"))
 
 
 @query("prediction_distribution")
@@ -86,19 +122,88 @@ def ml_metrics(spark, folder):
     return classify.quality_metrics(classify.confusion(_predictions(spark, folder)))
 
 
+# A prediction that SQL can state: the length of a text, against its label's length, in three classes.
+RULED = (
+    CLEAN
+    + """,
+ruled AS (
+    SELECT CAST(length(label) % 3 AS DOUBLE) + CASE WHEN length(clean_text) % 5 = 0 THEN 1 ELSE 0 END AS labelIndex,
+           CAST(length(clean_text) % 4 AS DOUBLE) AS prediction
+    FROM clean
+)"""
+)
+
+
+def _ruled(spark: SparkSession, folder: str) -> DataFrame:
+    shift = F.when(F.length("clean_text") % 5 == 0, 1).otherwise(0)
+    return texts(spark, folder).select(
+        ((F.length("label") % 3).cast("double") + shift).alias("labelIndex"),
+        (F.length("clean_text") % 4).cast("double").alias("prediction"),
+    )
+
+
+@query("rule_distribution", f"WITH {RULED} SELECT prediction, count(*) AS n FROM ruled GROUP BY prediction")
+def rule_distribution(spark, folder):
+    return classify.prediction_distribution(_ruled(spark, folder))
+
+
+@query("rule_confusion", f"WITH {RULED} SELECT labelIndex, prediction, count(*) AS n FROM ruled GROUP BY ALL")
+def rule_confusion(spark, folder):
+    return classify.confusion(_ruled(spark, folder))
+
+
+@query(
+    "rule_metrics",
+    f"""
+    WITH {RULED},
+    actual AS (SELECT labelIndex AS c, count(*) AS a, count(*) FILTER (labelIndex = prediction) AS h FROM ruled GROUP BY 1),
+    guessed AS (SELECT prediction AS c, count(*) AS g FROM ruled GROUP BY 1),
+    per AS (SELECT a, h, h / a AS r, coalesce(h / g, 0.0) AS p FROM actual LEFT JOIN guessed USING (c)),
+    scored AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM per)
+    SELECT round(sum(h) / sum(a), 9) AS accuracy, round(sum(p * a) / sum(a), 9) AS precision,
+           round(sum(r * a) / sum(a), 9) AS recall, round(sum(f * a) / sum(a), 9) AS f1
+    FROM scored
+    """,
+)
+def rule_metrics(spark, folder):
+    metrics = classify.quality_metrics(classify.confusion(_ruled(spark, folder)))
+    return metrics.select(*(F.round(name, 9).alias(name) for name in metrics.columns))
+
+
+def _topics(spark: SparkSession, folder: str) -> DataFrame:
+    rows = stored(texts(spark, folder), "texts")
+    return reading(classify.topic_model().fit(rows).transform(rows), rows)
+
+
 @query("topic_clusters")
 def topic_clusters(spark, folder):
-    rows = stored(texts(spark, folder), "texts")
-    topics = classify.topic_model().fit(rows).transform(rows)
-    return topics.groupBy("topic").agg(F.count("*").alias("n"))
+    return _topics(spark, folder).groupBy("topic").agg(F.count("*").alias("n"))
+
+
+@query("topic_rows", f"WITH {CLEAN} SELECT label, count(*) AS n, true AS in_range FROM clean GROUP BY label")
+def topic_rows(spark, folder):
+    """Rows of each label that got a topic, and whether all are one of the eight."""
+    rows = _topics(spark, folder).where(F.col("topic").isNotNull())
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.every(F.col("topic").between(0, 7)).alias("in_range"))
+
+
+def _label_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The same classifier with another label, fitted on the labelled documents and applied to all."""
+    documents = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
+    model, _ = classification.train(documents.join(labels, "doc_id"), "doc_id", label="quality", text="text")
+    unlabelled = documents.withColumn("quality", F.lit(""))
+    rows = classifier_rows(unlabelled, "doc_id", label="quality", text="text", drop_empty=False)
+    return classify.with_top_probability(classify.score(classify.for_scoring(model), rows))
 
 
 @query("label_classifier")
 def label_classifier(spark, folder):
-    """The same classifier on whole documents with another label, the marked quality."""
-    documents = table(spark, folder, "documents").join(
-        table(spark, folder, "labels").select("doc_id", F.col("quality").cast("string").alias("quality")), "doc_id"
-    )
-    _, predictions = classification.train(documents, "doc_id", label="quality", text="text")
-    scored = classify.with_top_probability(predictions)
-    return scored.select("doc_id", "label", "prediction", "top_probability")
+    return _label_scores(spark, folder).select("doc_id", "prediction", "top_probability")
+
+
+@query("label_classifier_rows", "SELECT doc_id, true AS scored FROM documents")
+def label_classifier_rows(spark, folder):
+    """Every document has a prediction and a probability."""
+    scored = F.col("prediction").isNotNull() & F.col("top_probability").between(0.0, 1.0)
+    return _label_scores(spark, folder).select("doc_id", scored.alias("scored"))

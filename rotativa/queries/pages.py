@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rotativa.functions import links, paths
 from rotativa.functions import text as text_functions
+from rotativa.functions.outline import page_outline, page_text
 from rotativa.operators import extract
-from rotativa.plans.headlines import extract_headlines
+from rotativa.plans.headlines import extract_headlines, page_rejects as rejects_of
 from rotativa.queries.base import (
     PAGES,
     STRICT_SITE,
@@ -22,7 +23,7 @@ from rotativa.queries.base import (
     title_case,
 )
 from rotativa.sources import adapters
-from rotativa.sources.pages import readable_pages
+from rotativa.sources.pages import decode_pages, readable_pages
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,7 +188,7 @@ def title_case_of_urls(spark, folder):
     "node_text",
     f"""
     WITH pieces AS (
-        SELECT page_id, string_split_regex(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>') AS p
+        SELECT page_id, string_split_regex(regexp_replace(html, '<(script|style)>.*?</(script|style)>', '<>', 'gs'), '<[^>]*>') AS p
         FROM pages
     )
     SELECT page_id, list_aggregate(list_transform(p, lambda x: regexp_replace({decoded('x')}, '^\\s+|\\s+$', '', 'g')),
@@ -196,9 +197,9 @@ def title_case_of_urls(spark, folder):
     """,
 )
 def node_text(spark, folder):
-    """Text of each page's whole article."""
-    article = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
-    return pages(spark, folder).select("page_id", text_functions.node_text(article).alias("text"))
+    """Text of each whole page, by the outline that the extraction uses."""
+    outlined = pages(spark, folder).select("page_id", page_outline(F.col("html")).alias("outline"))
+    return outlined.select("page_id", page_text(F.col("outline")).alias("text"))
 
 
 @query(
@@ -234,14 +235,15 @@ def title_prefix_filter(spark, folder):
     "page_census",
     r"""
     SELECT page_id, length(html) AS html_length,
+           CASE WHEN length(HEADING) > 10 THEN 1 ELSE 0 END AS headlines,
            len(regexp_extract_all(html, '(?i)<a\s[^>]*href')) AS links,
            len(regexp_extract_all(html, '(?i)<div\s[^>]*class="[^"]*Card')) AS cards,
            len(regexp_extract_all(html, '(?i)<a\s[^>]*href="[^"]*example\.org')) AS site_links
     FROM pages
-    """,
+    """.replace("HEADING", decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")),
 )
 def page_census(spark, folder):
-    return extract.page_census(pages(spark, folder), TEST_SITE)
+    return extract.page_census(pages(spark, folder), extract.generic_articles(F.col("outline"), TEST_SITE), TEST_SITE)
 
 
 # --- markup profiles ----------------------------------------------------------
@@ -381,11 +383,42 @@ def dedupe_by_title(spark, folder):
     "headline_stamp",
     f"""
     WITH {PAGES}
-    SELECT page_id, '2024-01-' || dd AS fecha FROM raw_pages
+    SELECT page_id, CASE WHEN page_id % 6 = 0 THEN '2024-02-01' ELSE '2024-01-' || dd END AS fecha FROM raw_pages
     """,
 )
 def headline_stamp(spark, folder):
-    return extract.stamp(adapters.raw_pages(pages(spark, folder)), "2024-02-01").select("page_id", "fecha")
+    """Names with a date, without one, and with an impossible one before it."""
+    path = (
+        F.when(F.col("page_id") % 6 == 0, "raw/portada.html")
+        .when(F.col("page_id") % 6 == 1, F.replace("path", F.lit("raw/"), F.lit("raw/1234-56-78-")))
+        .otherwise(F.col("path"))
+    )
+    raw = adapters.raw_pages(pages(spark, folder)).withColumn("path", path)
+    return extract.stamp(raw, "2024-02-01").select("page_id", "fecha")
+
+
+@query(
+    "page_rejects",
+    f"""
+    WITH {PAGES}
+    SELECT path, CASE WHEN page_id % 7 = 0 THEN 'not decodable' WHEN page_id % 7 = 1 THEN 'empty' ELSE 'no headline' END AS reason
+    FROM raw_pages
+    WHERE page_id % 7 IN (0, 1) OR length({decoded('h1')}) <= 10
+       OR NOT (contains(lower(path), 'example.org') OR contains(lower(path), 'example.com'))
+       OR (contains(lower(path), 'example.org') AND regexp_matches(lower({decoded('h1')}), '^(buscar|seguir|compartir)'))
+    """,
+)
+def page_rejects(spark, folder):
+    """Pages of a landing in which some bodies are damaged and some are empty: those without a headline, and why."""
+    raw = adapters.raw_pages(pages(spark, folder))
+    body = F.encode("html", "UTF-8")
+    content = (
+        F.when(F.col("page_id") % 7 == 0, F.concat(body, F.lit(bytes([0xFF]))))
+        .when(F.col("page_id") % 7 == 1, F.lit(b""))
+        .otherwise(body)
+    )
+    landed = decode_pages(raw.select("path", content.alias("content")))
+    return rejects_of(landed, generic=True, sites=(STRICT_SITE, TEST_SITE), names=TEST_NAMES)
 
 
 @query(

@@ -12,7 +12,7 @@ from rotativa.operators import partitions, reports
 from rotativa.plans.headlines import refresh_catalog
 from rotativa.queries.base import HEADLINES, query, table
 from rotativa.queries.rows import headlines
-from rotativa.session import new_folder
+from rotativa.session import new_folder, stored
 from rotativa.sinks.files import write_headline_files, write_headline_table
 from rotativa.sources.adapters import object_keys, raw_pages
 from rotativa.sources.headlines import read_headline_files
@@ -66,14 +66,14 @@ REGISTERED = f"""{LEVELS},
 registered AS (
     SELECT DISTINCT periodico, CASE WHEN lang = 'de' THEN '2023' ELSE year END AS year, month, day
     FROM levels WHERE lang IN ('en', 'de') AND periodico IS NOT NULL AND year IS NOT NULL
-      AND month IS NOT NULL AND day IS NOT NULL
+      AND month IS NOT NULL AND day IS NOT NULL AND day <> '07'
 )"""
 
 
 def _registered(spark: SparkSession, folder: str) -> DataFrame:
-    """Catalog entries: those of one language, and those of another under a past year."""
+    """Catalog entries: those of one language and those of another under a past year, one day of the month apart."""
     listed = keys(spark, folder).where(F.col("lang").isin("en", "de"))
-    found = partitions.partitions_found(listed, "lang")
+    found = partitions.partitions_found(listed, "lang").where(F.col("day") != "07")
     return found.withColumn("year", F.when(F.col("lang") == "de", "2023").otherwise(F.col("year"))).drop("lang")
 
 
@@ -205,8 +205,44 @@ def catalog_scan(spark, folder):
     root = new_folder(spark, "catalog")
     write_headline_files(headlines(spark, folder), root)
     # The database is only a name in the session's catalog; its data are the files above.
-    registered = refresh_catalog(spark, f"news_{uuid.uuid4().hex}", root)
-    return reports.count_by_source_in_month(registered, 2024, 1)
+    database = f"news_{uuid.uuid4().hex}"
+    registered = refresh_catalog(spark, database, root)
+    counted = stored(reports.count_by_source_in_month(registered, 2024, 1), "catalog-counts")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return counted
+
+
+@query(
+    "catalog_report",
+    f"""
+    WITH {HEADLINES}, parts AS (SELECT DISTINCT periodico, year, month, day FROM headlines)
+    SELECT 'headlines' AS "table", 'periodico,year,month,day' AS keys, count(*) AS partitions FROM parts
+    """,
+)
+def catalog_report(spark, folder):
+    """The registered tables of a database, with their keys and numbers of partitions."""
+    root, database = new_folder(spark, "catalog"), f"news_{uuid.uuid4().hex}"
+    write_headline_files(headlines(spark, folder), root)
+    refresh_catalog(spark, database, root)
+    report = partitions.table_report(spark, database).drop("location")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return report
+
+
+@query(
+    "partitions_repaired",
+    f"WITH {HEADLINES} SELECT DISTINCT periodico, year, month, day FROM headlines WHERE month = '02'",
+)
+def partitions_repaired(spark, folder):
+    """What a repair adds once February has been written beside January."""
+    root, database = new_folder(spark, "catalog"), f"news_{uuid.uuid4().hex}"
+    rows = headlines(spark, folder)
+    write_headline_files(rows.where(F.col("month") != "02"), root)
+    refresh_catalog(spark, database, root)
+    write_headline_files(rows.where(F.col("month") == "02"), root)
+    added = stored(partitions.repair_partitions(spark, database, "headlines"), "repaired")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return added
 
 
 # --- notifications ------------------------------------------------------------

@@ -53,14 +53,15 @@ def incremental_load(spark, folder):
     write_headline_files(rows.where(F.col("fecha") >= "2024-01-25"), f"{root}/landing")
     run()
     run()
-    return stored_rows(spark, f"{root}/target").withColumn("batch", F.col("batch").cast("int"))
+    number = F.substring_index("load", "-", -1).cast("int")
+    return stored_rows(spark, f"{root}/target").withColumn("batch", number).drop("load")
 
 
 @query(
     "stream_summary",
     """
     SELECT CAST(ts AS DATE) AS fecha, 'src' || (user_id % 4) AS periodico, event_type AS categoria,
-           count(*) AS total_articles
+           count(*) AS total_articles, min(ts) AS first_added, max(ts) AS last_added
     FROM events GROUP BY ALL
     """,
 )
@@ -68,5 +69,5 @@ def stream_summary(spark, folder):
     root = new_folder(spark, "summary")
     events = table(spark, folder, "events").schema
     arriving = event_arrivals(arriving_table(spark, folder, events, "events.parquet"))
-    keep_summary(running_counts(arriving), f"{root}/versions", f"{root}/checkpoint").awaitTermination()
+    keep_summary(running_counts(arriving, added="ts"), f"{root}/versions", f"{root}/checkpoint").awaitTermination()
     return latest_summary(spark, f"{root}/versions")

@@ -32,10 +32,7 @@ NEWS = T.StructType(
 )
 
 # Column types of the relational sink, for the JDBC writer's first write.
-SINK_COLUMN_TYPES = (
-    "fecha DATE, categoria VARCHAR(255), titular VARCHAR(4000), "
-    "enlace VARCHAR(4000), periodico VARCHAR(100)"
-)
+SINK_COLUMN_TYPES = "fecha DATE, categoria VARCHAR(255), titular TEXT, enlace TEXT, periodico VARCHAR(100)"
 
 NOTIFICATION = (
     "Records ARRAY<STRUCT<s3: STRUCT<bucket: STRUCT<name: STRING>, object: STRUCT<key: STRING>>>>"

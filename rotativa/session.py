@@ -23,6 +23,9 @@ JOB_SETTINGS = {
 }
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app_name: str = "rotativa", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the job settings; ``master`` is only for local runs."""
     builder = SparkSession.builder.appName(app_name)
@@ -58,6 +61,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``new_folder`` that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -68,10 +76,17 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
     For intermediate results that are costly to make and read more than once.
-    The written table cuts the lineage and outlives any executor.
+    The written table cuts the lineage and outlives any executor.  Nothing reads
+    the shuffles that led to it again, so they go at once.
     """
-    path = new_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    spark = rows.sparkSession
+    path = new_folder(spark, purpose)
+    before = spark.conf.get(_SHUFFLE_CLEANUP)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before)
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
     table.working_folder = path
     return table

@@ -139,6 +139,7 @@ def event_arrivals(events: DataFrame) -> DataFrame:
     """Arriving rows at volume: date, category and source of each event."""
     return events.select(
         "event_id",
+        "ts",
         F.col("ts").cast("date").alias("fecha"),
         F.col("event_type").alias("categoria"),
         F.concat(F.lit("src"), (F.col("user_id") % 4).cast("string")).alias("periodico"),

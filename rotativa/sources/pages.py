@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rotativa.functions.paths import date_in_name, detect_source, file_base_name, is_html_name
+from rotativa.functions.paths import date_in_name, detect_source, file_base_name
+
+
+HTML_NAMES = "*.[hH][tT][mM][lL]"
 
 
 def read_page_files(spark: SparkSession, root: str, *, ignore_case: bool = True) -> DataFrame:
-    """``path, content`` of every HTML file below ``root``.
+    """``path, content`` of every HTML file below ``root``; other files are listed and not read.
 
     The listing is recursive and complete, however many files there are.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content")
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", HTML_NAMES if ignore_case else "*.html")
+        .load(root)
+        .select("path", "content")
     )
-    return files.where(is_html_name(F.col("path"), ignore_case=ignore_case))
 
 
 def decode_pages(files: DataFrame) -> DataFrame:

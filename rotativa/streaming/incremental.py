@@ -9,44 +9,51 @@ from pyspark.sql.streaming import StreamingQuery
 from rotativa.operators.clean import valid_rows
 from rotativa.operators.dedupe import absent_from
 from rotativa.schema import NEWS
-from rotativa.session import stored
+from rotativa.session import discard, folder_exists, stored
 
-_STORED = T.StructType([*NEWS.fields, T.StructField("batch", T.LongType())])
+_STORED = T.StructType([*NEWS.fields, T.StructField("load", T.StringType())])
 
 
 def stored_rows(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the target with the number of the batch that brought them."""
+    """Rows of the target with the load that brought them: the stream's identity and the batch's number."""
+    if not folder_exists(spark, target):
+        return spark.createDataFrame([], _STORED)
     return spark.read.schema(_STORED).parquet(target)
 
 
-def append_new_rows(batch: DataFrame, batch_id: int, target: str) -> None:
+def append_new_rows(batch: DataFrame, load: str, target: str) -> None:
     """Add the rows whose key the target does not hold yet.
 
-    Each batch owns one folder.  A batch that is run again after a failure
-    compares with the earlier batches only and replaces its own folder, so the
-    target ends up the same.  The batch is read once: its rows are stored and
-    compared.  Rows are kept by date, so the comparison reads only the dates
+    Rows are kept by date and load.  A load that is run again after a failure
+    compares with all others and replaces its own folders, so the target ends up
+    the same, whatever other checkpoints have written to it.  The batch is read
+    once: its rows are stored and compared.  The comparison reads only the dates
     that arrived.
     """
     rows = stored(valid_rows(batch), "batch-rows")
-    if batch_id > 0:
-        held = stored_rows(batch.sparkSession, target).where(F.col("batch") < batch_id)
-    else:
-        held = rows.limit(0)
+    held = stored_rows(batch.sparkSession, target).where(F.col("load") != load)
     (
         absent_from(rows, held)
+        .withColumn("load", F.lit(load))
         .hint("rebalance", "fecha")
         .write.mode("overwrite")
-        .partitionBy("fecha")
-        .parquet(f"{target}/batch={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("fecha", "load")
+        .parquet(target)
     )
+    discard(rows)
+
+
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that a stream keeps in its checkpoint: another one after a checkpoint is lost."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
 def load_new_headlines(arriving: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Load everything that has arrived since the last committed run."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_new_rows(batch, batch_id, target)
+        append_new_rows(batch, f"{stream_identity(batch.sparkSession, checkpoint)}-{batch_id}", target)
 
     return (
         arriving.writeStream.option("checkpointLocation", checkpoint)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rotativa.schema import HEADLINES
 from rotativa.sources.headlines import CSV_OPTIONS
+from rotativa.sources.pages import HTML_NAMES
 
 BYTES_PER_BATCH = 1 << 40
 
@@ -40,7 +41,7 @@ def arriving_page_files(spark: SparkSession, root: str, bytes_per_batch: int = B
         spark.readStream.format("binaryFile")
         .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.html")
+        .option("pathGlobFilter", HTML_NAMES)
         .option("maxBytesPerTrigger", bytes_per_batch)
         .load(root)
         .select("path", "content")

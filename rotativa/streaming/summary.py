@@ -8,18 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 _GROUP = ("fecha", "periodico", "categoria")
 
 
-def running_counts(arriving: DataFrame, *group: str) -> DataFrame:
-    """Rows per group so far; the state holds one counter per group."""
-    return arriving.groupBy(*(group or _GROUP)).agg(F.count("*").alias("total_articles"))
-
-
-def first_titles(arriving: DataFrame, lateness: str = "7 days") -> DataFrame:
-    """Arriving rows without repeated titles of a day, with bounded state.
-
-    A title is remembered until its date is older than ``lateness``.
-    """
-    timed = arriving.withColumn("event_time", F.to_timestamp("fecha"))
-    return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["titular", "fecha"]).drop("event_time")
+def running_counts(arriving: DataFrame, *group: str, added: str | None = None) -> DataFrame:
+    """Rows per group so far, with ``added`` also the first and last time; the state holds these per group."""
+    times = (F.min(added).alias("first_added"), F.max(added).alias("last_added")) if added else ()
+    return arriving.groupBy(*(group or _GROUP)).agg(F.count("*").alias("total_articles"), *times)
 
 
 def keep_summary(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from rotativa.operators import classify, text_features
 from rotativa.operators.clean import classifier_rows
 from rotativa.plans import classification
+from rotativa.sources.headlines import CSV_OPTIONS
 from rotativa.sinks.predictions import ALL_COLUMNS, PREDICTIONS, PREDICTIONS_WITH_PROBABILITY, save_predictions_by_day
 
 TITLES = [
-    ("Política", "Nueva ley aprobada en el congreso"),
+    ("Política", "Votan la ley de aguas en el congreso"),
     ("Política", "El congreso vota la ley de paz"),
-    ("Política", "Senado debate la nueva reforma"),
-    ("Deportes", "Colombia gana partido de fútbol"),
-    ("Deportes", "El equipo gana la copa de fútbol"),
-    ("Economía", "Dólar sube en el mercado"),
-    ("Economía", "El mercado espera un dólar caro"),
+    ("Política", "El congreso discute otra ley de aguas"),
+    ("Deportes", "Tunja gana la carrera de montaña"),
+    ("Deportes", "Gana la copa el club de montaña"),
+    ("Economía", "Sube el café en el mercado"),
+    ("Economía", "El mercado espera café más caro"),
     (None, "Sin categoría conocida"),
     ("Deportes", "12345"),
     ("Deportes", None),
@@ -70,14 +71,17 @@ def test_tfidf_terms_against_counting(spark):
         for key, words in texts.items()
         for term, tf in Counter(words).items()
     }
-    for common in (text_features.COMMON_TERMS, 5, 1):
-        limit, text_features.COMMON_TERMS = text_features.COMMON_TERMS, common
-        try:
-            found = text_features.tfidf_terms(rows, "key").collect()
-        finally:
-            text_features.COMMON_TERMS = limit
-        assert {(r.key, r.term): (r.tf, r.df, r.tfidf) for r in found} == expected
-        assert len(found) == len(expected)
+    found = text_features.tfidf_terms(rows, "key").collect()
+    assert {(r.key, r.term): (r.tf, r.df, r.tfidf) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_very_many_labels_are_ranked(spark):
+    rows = spark.range(25_000).select(F.concat(F.lit("l"), F.pmod(F.col("id") * 7, F.lit(12_000)).cast("string")).alias("label"))
+    counts = Counter(r.label for r in rows.collect())
+    ranked = text_features.label_index(rows).orderBy("label_index").collect()
+    assert [(r.label, r.n) for r in ranked] == sorted(counts.items(), key=lambda item: (-item[1], item[0]))
+    assert [r.label_index for r in ranked] == list(range(12_000))
 
 
 def test_label_index_equals_the_indexer(spark):
@@ -114,9 +118,9 @@ def test_stored_outputs(spark, headlines, tmp_path):
     assert {"clean_text", "label", "words", "filtered_words", "rawFeatures", "features", "labelIndex", "probability", "prediction"} <= set(
         spark.read.parquet(f"{base}/{ALL_COLUMNS}").columns
     )
-    plain = spark.read.option("header", True).csv(f"{base}/{PREDICTIONS}")
+    plain = spark.read.options(**CSV_OPTIONS).csv(f"{base}/{PREDICTIONS}")
     assert plain.columns == ["clean_text", "label", "prediction"] and plain.count() == 7
-    detailed = spark.read.option("header", True).csv(f"{base}/{PREDICTIONS_WITH_PROBABILITY}")
+    detailed = spark.read.options(**CSV_OPTIONS).csv(f"{base}/{PREDICTIONS_WITH_PROBABILITY}")
     assert detailed.columns == ["clean_text", "label", "prediction", "probability_str"]
     assert detailed.first().probability_str.startswith("[")
 
@@ -134,13 +138,6 @@ def test_predictions_by_day(spark, trained, tmp_path):
     assert {p.name for p in (tmp_path / "by-day/year=2024/month=01").iterdir() if p.is_dir()} == {"day=01", "day=02", "day=03"}
 
 
-def test_label_limit(headlines):
-    rows = classifier_rows(headlines)
-    classification.check_labels(rows, 3)
-    with pytest.raises(ValueError):
-        classification.check_labels(rows, 2)
-
-
 def test_topics(headlines):
     rows = classifier_rows(headlines)
     topics = classify.topic_model(topics=2, num_features=256).fit(rows).transform(rows)

@@ -53,10 +53,11 @@ def test_unknown_sources_leave_before_parsing(spark, tmp_path):
     assert plan.index("ArrowEvalPython") < plan.index("Filter ")
 
 
-def test_terms_are_counted_without_a_shuffle(spark):
+def test_terms_are_counted_once(spark):
     rows = spark.createDataFrame([("k", ["a", "b"])], "key STRING, words ARRAY<STRING>")
     assert "Exchange" not in plan_of(text_features.term_frequencies(rows, "key"))
-    plan = plan_of(text_features.document_frequencies(rows))
+    plan = plan_of(text_features.tfidf_terms(rows, "key"))
+    assert plan.count("Join ") == 1 and "array_sort" not in plan and "Generate" not in plan  # it reads stored counts
     assert plan.index("Exchange") < plan.index("partial_count")
 
 
@@ -84,6 +85,19 @@ def test_in_page_duplicates_stay_in_the_row(spark):
     assert "Exchange" not in plan_of(rows.select(dedupe.first_in_page(F.col("items"), "enlace")))
 
 
+@pytest.mark.parametrize(
+    ("rule", "searches"),
+    [
+        (lambda outline: extract.cards_and_headings(outline), 2),
+        (lambda outline: extract.page_items_by_markup(outline, F.col("periodico")), 3),
+        (lambda outline: extract.generic_articles_or_links(outline), 3),
+    ],
+)
+def test_rules_are_evaluated_once(spark, rule, searches):
+    """Searches of a whole outline in the expression of a rule."""
+    assert str(rule(F.col("outline"))).count("filter(outline['elements']") == searches
+
+
 def test_outline_is_needed_once(spark):
     pages = spark.createDataFrame([("p", "<h1>x</h1>")], "path STRING, html STRING")
     rows = extract.headlines_of(extract.with_outline(pages), extract.cards_and_headings(F.col("outline")))

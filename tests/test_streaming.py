@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rotativa.operators.dedupe import absent_from, one_per_sink_key
 from rotativa.operators.clean import valid_rows
-from rotativa.plans.headlines import follow_pages
+from rotativa.plans.headlines import follow_pages, refresh_catalog
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
@@ -27,12 +27,12 @@ def loader(spark, tmp_path):
         def land(self, rows):
             write_headline_files(rows, self.landing)
 
-        def run(self):
+        def run(self, checkpoint="checkpoint"):
             arriving = ingest.arriving_headline_files(spark, self.landing)
-            incremental.load_new_headlines(arriving, self.target, str(tmp_path / "checkpoint")).awaitTermination()
+            incremental.load_new_headlines(arriving, self.target, str(tmp_path / checkpoint)).awaitTermination()
 
         def titles(self):
-            return sorted((r.titular, r.batch) for r in incremental.stored_rows(spark, self.target).collect())
+            return sorted((r.titular, int(r.load.rpartition("-")[2])) for r in incremental.stored_rows(spark, self.target).collect())
 
     return Loader()
 
@@ -54,21 +54,34 @@ def test_incremental_equals_full_load(spark, loader):
         loader.land(day)
         loader.run()
     full = one_per_sink_key(valid_rows(days[0].unionByName(days[1]).unionByName(days[2])))
-    loaded = incremental.stored_rows(spark, loader.target).drop("batch")
+    loaded = incremental.stored_rows(spark, loader.target).drop("load")
     assert sorted(map(tuple, loaded.select(*NEWS.names).collect())) == sorted(map(tuple, full.select(*NEWS.names).collect()))
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     target = str(tmp_path / "target")
-    incremental.append_new_rows(rows_of(spark, 1, "Uno", "Dos"), 0, target)
-    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), 1, target)
-    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), 1, target)
+    incremental.append_new_rows(rows_of(spark, 1, "Uno", "Dos"), "a-0", target)
+    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), "a-1", target)
+    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), "a-1", target)
     assert sorted(r.titular for r in incremental.stored_rows(spark, target).collect()) == ["Dos", "Tres", "Uno"]
 
 
+def test_a_lost_checkpoint_loses_and_repeats_no_row(spark, loader):
+    loader.land(rows_of(spark, 1, "Uno"))
+    loader.run()
+    loader.land(rows_of(spark, 2, "Dos"))
+    loader.run()
+    loader.run("another")  # reads both days again
+    loader.land(rows_of(spark, 3, "Dos", "Tres"))
+    loader.run("another")
+    assert [title for title, _ in loader.titles()] == ["Dos", "Dos", "Tres", "Uno"]
+    rows = incremental.stored_rows(spark, loader.target)
+    assert rows.count() == rows.select("fecha", "titular").distinct().count() == 4
+
+
 def test_only_arriving_dates_of_the_target_are_read(spark, tmp_path):
     target = str(tmp_path / "target")
-    incremental.append_new_rows(rows_of(spark, 1, "Uno").unionByName(rows_of(spark, 9, "Nueve")), 0, target)
+    incremental.append_new_rows(rows_of(spark, 1, "Uno").unionByName(rows_of(spark, 9, "Nueve")), "a-0", target)
     held = incremental.stored_rows(spark, target)
     incoming = valid_rows(rows_of(spark, 9, "Nueve", "Diez"))
     plan = absent_from(incoming, held)._jdf.queryExecution().executedPlan().toString()
@@ -90,6 +103,8 @@ def test_running_summary(spark, tmp_path):
     day = dt.date(2024, 1, 1)
     assert arrive((day, "a", "x"), (day, "a", "x"), (day, "b", None)) == {(day, "a", "x", 2), (day, "b", None, 1)}
     assert arrive((day, "a", "x"), (day, "a", "y")) == {(day, "a", "x", 3), (day, "a", "y", 1), (day, "b", None, 1)}
+    timed = spark.createDataFrame([(day, "a", "x", dt.datetime(2024, 1, 1, h)) for h in (5, 3, 9)], schema + ", ts TIMESTAMP")
+    assert tuple(summary.running_counts(timed, added="ts").first())[4:] == (dt.datetime(2024, 1, 1, 3), dt.datetime(2024, 1, 1, 9))
 
 
 def test_arriving_pages_and_plain_append(spark, tmp_path):
@@ -106,7 +121,7 @@ def test_arriving_pages_and_plain_append(spark, tmp_path):
     (raw / "nota.txt").write_text("x")
     assert run() == ["eltiempo"]
     assert run() == ["eltiempo"]
-    (raw / "elespectador-2024-01-01.html").write_text("<p>dos</p>")
+    (raw / "elespectador-2024-01-01.HTML").write_text("<p>dos</p>")
     assert run() == ["elespectador", "eltiempo"]
 
 
@@ -119,7 +134,8 @@ def test_following_landed_pages(spark, tmp_path):
 
     def run():
         follow_pages(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "cp"), "2024-02-01", generic=True).awaitTermination()
-        return sorted((r.titular, r.periodico, r.fecha) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+        rows = refresh_catalog(spark, "following", str(tmp_path / "out"))
+        return sorted((r.titular, r.periodico, r.fecha) for r in rows.collect())
 
     land("eltiempo-2024-01-15.html", "Noticia del lunes")
     land("otro-2024-01-15.html", "Noticia de otro sitio")
@@ -128,16 +144,6 @@ def test_following_landed_pages(spark, tmp_path):
     assert run() == first
     land("elespectador-2024-01-15.html", "Noticia de la tarde")
     assert run() == [("Noticia de la tarde", "elespectador", "2024-01-15"), *first]
-
-
-def test_first_titles_forget_old_dates(spark, tmp_path):
-    source = str(tmp_path / "in")
-
-    def arrive(day, *titles):
-        rows_of(spark, day, *titles).write.mode("append").parquet(source)
-        arriving = ingest.arriving_table(spark, source, HEADLINES)
-        ingest.append_stream(summary.first_titles(arriving), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return sorted(r.titular for r in spark.read.parquet(str(tmp_path / "out")).collect())
-
-    assert arrive(1, "Uno", "Uno", "Dos") == ["Dos", "Uno"]
-    assert arrive(1, "Uno", "Tres") == ["Dos", "Tres", "Uno"]
+    land("ELTIEMPO-2024-01-15.HTML", "Noticia corregida del lunes")  # a day that lands again is replaced
+    assert run() == [("Noticia corregida del lunes", "eltiempo", "2024-01-15"), ("Noticia de la tarde", "elespectador", "2024-01-15")]
+    spark.sql("DROP DATABASE following CASCADE")
