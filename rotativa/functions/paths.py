@@ -77,9 +77,3 @@ def level_value(path: Column, name: str) -> Column:
 def partition_values(levels: Column) -> Column:
     """The four partition values in order; a missing one is empty."""
     return F.array(*[F.coalesce(levels[name], F.lit("")) for name in PARTITION_COLUMNS])
-
-
-def partition_path(base: str, *values: Column) -> Column:
-    """``base/periodico=…/year=…/month=…/day=…`` from the four values."""
-    parts = [F.concat(F.lit(f"{name}="), value) for name, value in zip(PARTITION_COLUMNS, values)]
-    return F.concat_ws("/", F.lit(base), *parts)

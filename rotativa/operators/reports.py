@@ -34,16 +34,6 @@ def processing_stats(news: DataFrame) -> DataFrame:
     return combinations.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"), *distinct)
 
 
-def approximate_stats(news: DataFrame) -> DataFrame:
-    """Row count and estimated distinct counts in one pass without a wide shuffle."""
-    return news.agg(
-        F.count("*").alias("total_records"),
-        F.approx_count_distinct("fecha").alias("unique_dates"),
-        F.approx_count_distinct("periodico").alias("unique_newspapers"),
-        F.approx_count_distinct("categoria").alias("unique_categories"),
-    )
-
-
 def distinct_dates(news: DataFrame) -> DataFrame:
     return news.select("fecha").distinct().orderBy("fecha")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rotativa.fixed import CSV_COLUMNS
 from rotativa.schema import HEADLINES
 
 # How headline files are quoted.  Embedded quotes are doubled, embedded line
@@ -25,12 +24,3 @@ def read_headline_files(spark: SparkSession, root: str) -> DataFrame:
     text, and files with or without the redundant fifth column read alike.
     """
     return spark.read.schema(HEADLINES).options(**CSV_OPTIONS).csv(root)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
-def as_file_rows(headlines: DataFrame) -> DataFrame:
-    """The columns a headline file holds."""
-    return headlines.select(*CSV_COLUMNS)

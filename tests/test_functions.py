@@ -36,13 +36,6 @@ def test_partition_values_fill_missing_levels(column):
     assert found == [["eltiempo", "2024", "1", "15"], ["eltiempo", "", "", ""]]
 
 
-def test_partition_path(column):
-    found = column(
-        lambda x: paths.partition_path("s3://lago/diario", x, F.lit("2019"), F.lit("07"), F.lit("03")), "eltiempo"
-    )
-    assert found == ["s3://lago/diario/periodico=eltiempo/year=2019/month=07/day=03"]
-
-
 def test_storage_paths(column):
     valid = ["s3://lago/a", "s3://lago/2020/02/tabla.orc"]
     invalid = ["lago/2020/tabla.orc", "/mnt/lago/tabla.orc", "tabla.orc"]
