@@ -31,8 +31,10 @@ NEWS = T.StructType(
     ]
 )
 
-# Column types of the relational sink, for the JDBC writer's first write.
-SINK_COLUMN_TYPES = "fecha DATE, categoria VARCHAR(255), titular TEXT, enlace TEXT, periodico VARCHAR(100)"
+# Column types of the relational sink, for the JDBC writer's first write.  The
+# writer takes Spark's type names only, of which none is an unbounded text: title
+# and link are left to it, and get the database's own (TEXT, LONGTEXT).
+SINK_COLUMN_TYPES = "fecha DATE, categoria VARCHAR(255), periodico VARCHAR(100)"
 
 NOTIFICATION = (
     "Records ARRAY<STRUCT<s3: STRUCT<bucket: STRUCT<name: STRING>, object: STRUCT<key: STRING>>>>"

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from rotativa.operators import partitions, reports
 from rotativa.plans.headlines import process_pages, refresh_catalog
 from rotativa.schema import HEADLINES
-from rotativa.session import new_folder, shared_folder
 from rotativa.sinks.files import with_partition_columns, write_headline_files, write_headline_table
 from rotativa.sources.headlines import read_headline_files
 from rotativa.sources.pages import decode_pages, land_pages, read_page_files, readable_pages, rejected_pages
@@ -27,21 +26,30 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-class FakeSession:
-    """A session whose settings are the given ones."""
+def test_working_tables_lie_where_executors_see_them(spark, monkeypatch):
+    from rotativa import session
 
-    def __init__(self, **settings):
-        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
-        self.sparkContext = self
-        self.applicationId = "app"
+    def folder(**settings):
+        class Conf:
+            get = staticmethod(lambda key, default=None: settings.get(key.replace(".", "_"), default))
 
+        class Session:
+            conf = Conf()
+
+        return session.shared_folder(Session())
+
+    assert folder(spark_checkpoint_dir="hdfs://shared/", spark_sql_warehouse_dir="w") == "hdfs://shared"
+    assert folder(spark_sql_warehouse_dir="hdfs://warehouse") == "hdfs://warehouse/_working"
+
+
+def test_working_tables_are_removed(spark):
+    from rotativa import session
+
+    table = session.stored(spark.range(5).groupBy().count(), "some")
+    assert table.first()[0] == 5 and session.folder_exists(spark, table.working_folder)
+    session.discard(table)
+    assert not session.folder_exists(spark, table.working_folder)
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(ValueError):
-        shared_folder(FakeSession(spark_master="yarn"))
-    assert shared_folder(FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs:/shared/")) == "hdfs:/shared"
-    local = FakeSession(spark_master="local[2]")
-    assert shared_folder(local) == shared_folder(local)
 
 
 def test_text_survives_headline_files(spark, tmp_path):

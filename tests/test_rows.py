@@ -110,7 +110,8 @@ def test_load_sink_counts_in_one_write(raw, spark, tmp_path):
 def test_relational_options_and_schema_map(spark, news):
     options = jdbc_options("jdbc:mysql://host/news", "noticias", user="u", password="p")
     assert options["dbtable"] == "noticias" and options["batchsize"] == "10000" and options["numPartitions"] == "16"
-    assert "titular VARCHAR" in options["createTableColumnTypes"]
+    typed = options["createTableColumnTypes"]
+    assert "periodico VARCHAR(100)" in typed and "titular" not in typed and "enlace" not in typed  # unbounded
     expected = schema_map(spark, {"noticias": news()})
     assert [(r.column, r.type) for r in expected.collect()] == [
         ("fecha", "date"),
