@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 # Texts are taken from an Arrow batch in slices of about so many bytes.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -40,6 +40,17 @@ def identified(rows: DataFrame, purpose: str, name: str = "_row") -> DataFrame:
     return stored(rows.withColumn(name, F.monotonically_increasing_id()), purpose)
 
 
+def boxed(docs: DataFrame, purpose: str) -> DataFrame:
+    """As ``identified``, with the document in one column ``doc``, so that no name of its columns can clash."""
+    return identified(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")), purpose)
+
+
+def sized(rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """The rows as a stored table, and how many they are."""
+    table = stored(rows, purpose)
+    return table, table.count()
+
+
 def small(rows: DataFrame, count: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """A side of a join, sent to all tasks only if its counted size allows it."""
     return F.broadcast(rows) if count <= most else rows

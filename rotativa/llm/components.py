@@ -16,8 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rotativa.llm.common import small
-from rotativa.session import stored
+from rotativa.llm.common import sized, small
+from rotativa.session import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,27 +32,28 @@ def components(links: DataFrame) -> DataFrame:
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         both = both.unionByName(both.select("a", F.col("a").alias("b")))
         order = F.col("b") if turn % 2 == 0 else F.xxhash64(F.lit(turn), "b")
-        name = stored(
-            both.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(order.alias("o"), "b"))["b"].alias("name")), "names"
-        )
-        count = name.count()
+        name, count = sized(both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", order).alias("name")), "names")
         names.append((name, count))
         renamed = reduce(
             lambda rows, end: rows.join(small(name, count), rows[end] == name["node"]).drop(end, "node").withColumnRenamed("name", end),
             ("a", "b"),
             links,
         )
-        links = stored(
+        shorter = stored(
             renamed.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"
         )
+        discard(links)
+        links = shorter
         turn += 1
+    discard(links)
     rows = names[0][0]
     for name, count in names[1:]:
         following = small(name.select(F.col("node").alias("_node"), F.col("name").alias("_name")), count)
         rows = rows.join(following, F.col("name") == F.col("_node"), "left").select(
             "node", F.coalesce("_name", "name").alias("name")
         )
-    if len(names) > 2:  # names of odd rounds need not be smallest; so are those of a last round by id
-        rows = stored(rows, "names")
-    least = stored(rows.groupBy("name").agg(F.min("node").alias("component")), "components")
-    return rows.join(small(least, least.count()), "name").select("node", "component")
+    rows = stored(rows, "named")
+    discard(*(name for name, _ in names))
+    # a name is a node of its component, and the smallest only by chance
+    least, count = sized(rows.groupBy("name").agg(F.min("node").alias("component")), "components")
+    return rows.join(small(least, count), "name").select("node", "component")

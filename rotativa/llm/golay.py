@@ -28,14 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rotativa.llm.common import column_types, identified, small, text_slices
+from rotativa.llm.common import boxed, column_types, sized, small, text_slices
 from rotativa.llm.components import components
-from rotativa.session import stored
+from rotativa.session import discard, reading, stored
 
 SEED = 42
 SHINGLE_WORDS = 3
 BITS_APART = 2
 BUCKET_ROWS = 64
+SENT_ROWS = 500_000  # rows of two longs that may be sent to all tasks
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # first bit and size
 
 # fixed values: generator polynomial of the Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1
@@ -124,10 +125,11 @@ def _with_keys(batches):
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) that join exactly the fingerprints reachable by steps of at most 2 bits."""
+    """Links (a, b) that join exactly the fingerprints reachable by steps of at most 2 bits, as a stored table."""
     keyed = stored(distinct.select("fingerprint").mapInArrow(_with_keys, "key BIGINT, fingerprint BIGINT"), "golay-keys")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    met = stored(keyed.join(shared, "key"), "golay-met")
+    shared, count = sized(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "golay-shared")
+    met = stored(keyed.join(small(shared, count, SENT_ROWS), "key"), "golay-met")
+    discard(keyed, shared)
     few = met.where(F.col("members") <= BUCKET_ROWS).select("key", "fingerprint")
     pairs = (
         few.withColumnRenamed("fingerprint", "a")
@@ -148,7 +150,9 @@ def links(distinct: DataFrame) -> DataFrame:
     )
     nearest = ball.groupBy("word").agg(F.min("fingerprint").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = ball.join(nearest, "word").where("a <> fingerprint").select("a", F.col("fingerprint").alias("b"))
-    return pairs.unionByName(stars)
+    found = stored(pairs.unionByName(stars), "golay-links")
+    discard(met, ball)
+    return found
 
 
 def groups(rows: DataFrame, least: str) -> DataFrame:
@@ -157,15 +161,18 @@ def groups(rows: DataFrame, least: str) -> DataFrame:
     ``rows`` is read twice: give a stored table.
     """
     distinct = stored(rows.groupBy("fingerprint").agg(F.min(least).alias("_least")), "golay-distinct")
-    linked = components(links(distinct)).select(F.col("node").alias("_node"), "component")
+    found = links(distinct)
+    linked = components(found).select(F.col("node").alias("_node"), "component")
     named = stored(
         distinct.join(linked, F.col("fingerprint") == F.col("_node"), "left").select(
             "fingerprint", "_least", F.coalesce("component", "fingerprint").alias("_group")
         ),
         "golay-groups",
     )
-    best = named.groupBy(F.col("_group").alias("_g")).agg(F.min("_least").alias("smallest"))
-    return stored(named.join(best, F.col("_group") == F.col("_g")).select("fingerprint", "smallest"), "golay-named")
+    best, count = sized(named.groupBy(F.col("_group").alias("_g")).agg(F.min("_least").alias("smallest")), "golay-best")
+    made = stored(named.join(small(best, count), F.col("_group") == F.col("_g")).select("fingerprint", "smallest"), "golay-named")
+    discard(distinct, found, named, best)
+    return made
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -184,12 +191,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The documents without all but the first (by id, then by place) of every group, with their columns."""
-    columns = docs.columns
-    rows = identified(docs, "golay-documents")
-    prints = fingerprints(rows, ("_row", "doc_id")).select(
-        "fingerprint", "_row", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row").alias("_first")
+    rows = boxed(docs, "golay-documents")
+    prints = fingerprints(rows.select("_row", F.col("doc.doc_id").alias("id"), F.col("doc.text").alias("text")), ("_row", "id"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row")
+    prints = stored(prints.select("fingerprint", "_row", order.alias("order")), "golay-fingerprints")
+    found = groups(prints, "order")
+    repeated, count = sized(
+        prints.join(small(found, found.count()), "fingerprint").where(F.col("smallest._row") != F.col("_row")).select("_row"),
+        "golay-repeated",
     )
-    prints = stored(prints, "golay-fingerprints")
-    found = groups(prints, "_first")
-    repeated = prints.join(small(found, found.count()), "fingerprint").where(F.col("smallest._row") != F.col("_row")).select("_row")
-    return rows.join(repeated, "_row", "left_anti").select(*(F.col(f"`{c}`") for c in columns))
+    discard(prints, found)
+    kept = rows.join(small(repeated, count, SENT_ROWS), "_row", "left_anti").select("doc.*")
+    return reading(kept, rows, repeated)

@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rotativa.llm.common import identified, small, word_count
-from rotativa.session import stored
+from rotativa.llm.common import boxed, sized, small, word_count
+from rotativa.session import discard, reading, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -137,7 +137,7 @@ def mix(
         .agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks"))
         .select("place", "shard", "shard_size", "blocks")
     )
-    quotas, shard_count = _counted(apportion(shards, ["place"], "shard", "shard_size", F.col("blocks"), "quota"), "mix-quotas")
+    quotas, shard_count = sized(apportion(shards, ["place"], "shard", "shard_size", F.col("blocks"), "quota"), "mix-quotas")
     in_shard = Window.partitionBy("place", "shard").orderBy("_key", F.col("doc_id").asc_nulls_last(), "size")
     stream = placed.withColumn("_before", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     quota = quotas.select(
@@ -157,27 +157,20 @@ def mix(
     )
 
 
-def _counted(rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    table = stored(rows, purpose)
-    return table, table.count()
-
-
 def document_sizes(docs: DataFrame) -> DataFrame:
     return stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: each as often as its words are taken, to the nearest whole number."""
-    columns = docs.columns
-    rows = identified(docs, "mix-documents")
-    sizes = stored(rows.select("_row", "doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    rows = boxed(docs, "mix-documents")
+    sizes = stored(rows.select("_row", "doc.doc_id", "doc.source", word_count(F.col("doc.text")).alias("size")), "mix-sizes")
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    chosen = mix(sizes, **options).select("_row", copies.alias("_copies")).where("_copies > 0")
-    return (
-        rows.join(chosen, "_row")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*(F.col(f"`{c}`") for c in columns))
-    )
+    chosen = mix(sizes, **options).select("_row", copies.alias("copies")).where("copies > 0")
+    chosen, count = sized(chosen, "mix-chosen")
+    discard(sizes)
+    copied = rows.join(small(chosen, count, 500_000), "_row").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return reading(copied.select("doc.*"), rows, chosen)
 
 
 ORACLE = rf"""

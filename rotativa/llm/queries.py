@@ -86,5 +86,5 @@ def op4_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.without_repeats(table(spark, folder, "documents")).select(
-        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), "text"
+        "doc.doc_id", "n_lines", "n_dropped", "text"
     )
