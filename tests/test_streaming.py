@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rotativa.operators.dedupe import absent_from, one_per_sink_key
 from rotativa.operators.clean import valid_rows
