@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotativa.llm import chat_tree, cover_tree, golay, hnsw, line_dedup, mixing, prefix_counts, quality, runs, toxicity, unigram
+from rotativa.llm import chat_tree, cover_tree, golay, hnsw, line_dedup, lockstep, mixing, prefix_counts, quality, runs, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
     return runs.run_digests(runs.word_runs(docs, ("doc_id",)))
+
+
+@query("op12_lockstep")
+def op12_lockstep(spark: SparkSession, folder: str) -> DataFrame:
+    return lockstep.counted_alignments(table(spark, folder, "documents"), ("doc_id",))
