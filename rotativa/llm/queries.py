@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotativa.llm import chat_tree, cover_tree, golay, hnsw, line_dedup, lockstep, mixing, prefix_counts, quality, runs, toxicity, unigram
+from rotativa.llm import chat_tree, cover_tree, golay, hnsw, line_dedup, lockstep, mixing, prefix_counts, quality, randomness, runs, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_lockstep")
 def op12_lockstep(spark: SparkSession, folder: str) -> DataFrame:
     return lockstep.counted_alignments(table(spark, folder, "documents"), ("doc_id",))
+
+
+@query("op11_secret_scan", randomness.ORACLE)
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return randomness.span_digests(randomness.secret_spans(table(spark, folder, "documents"), ("doc_id",)))
