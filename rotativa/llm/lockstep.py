@@ -31,6 +31,7 @@ import hashlib
 import json
 import os
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ from rotativa.llm.common import column_types, sized, small, text_slices
 from rotativa.llm.pieces import MARK, ChunkStore, ranges
 from rotativa.session import stored
 
+JOINED = 100  # words encoded together
 ENTERED = 512  # A tokens after which a text is entered anew
 SMALL_GROUP = 64  # links of a group that are written out one by one
 BLOCK_BYTES = 8_000_000  # text of a block
@@ -64,6 +66,29 @@ def byte_letters() -> dict[str, int]:
     return {chr(byte): byte for byte in shown} | {chr(256 + i): byte for i, byte in enumerate(hidden)}
 
 
+class ByteTable:
+    """The bytes of every token of a vocabulary."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.tokens = tokens
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spells(self, values: np.ndarray, counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text give its bytes."""
+        number = np.repeat(np.arange(len(texts)), counts)
+        wide = np.fromiter(map(len, texts), np.int64, len(texts))
+        same = np.bincount(number, self.sizes[values], len(texts)).astype(np.int64) == wide
+        values = values[same[number]]
+        made = self.data[ranges(self.starts[values], self.sizes[values])]
+        given = np.frombuffer(b"".join([texts[i] for i in np.flatnonzero(same).tolist()]), np.uint8)
+        wrong = np.flatnonzero(made != given)
+        ends = np.cumsum(wide[same])
+        same[np.flatnonzero(same)[np.searchsorted(ends, wrong, side="right")]] = False
+        return same
+
+
 class Encoders:
     """Both encodings of texts, each token with the number of its bytes."""
 
@@ -78,15 +103,12 @@ class Encoders:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         letters = byte_letters()
-        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
         for token, number in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_bytes[number] = bytes(letters[c] for c in token)
+            a_bytes[number] = bytes(letters[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)
-        ]
-        self.a_size = np.fromiter(map(len, self.a_bytes), np.int64, len(self.a_bytes))
-        self.b_size = np.fromiter(map(len, self.b_bytes), np.int64, len(self.b_bytes))
+        b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.a_table, self.b_table = ByteTable(a_bytes), ByteTable(b_bytes)
         written = json.loads(first)
         cutting = written.get("pre_tokenizer") or {}
         self.by_words = (
@@ -97,23 +119,47 @@ class Encoders:
         )
         self.store = ChunkStore(self._encoded)
 
+    def _first(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A ids of a space and each text, and their numbers.
+
+        Texts without white space are joined by line breaks, which are tokens by themselves then.
+        """
+        line = self.a.encode("\n", add_special_tokens=False).ids
+        joined = np.fromiter((len(t.split()) == 1 and t == t.strip() for t in texts), bool, len(texts)) & (len(line) == 1)
+        plain, other = np.flatnonzero(joined), np.flatnonzero(~joined)
+        lines = [texts[i] for i in plain.tolist()]
+        parts = ["".join(f" {t}\n" for t in lines[low : low + JOINED]) for low in range(0, len(lines), JOINED)]
+        many = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        values = np.fromiter(chain.from_iterable(many), np.int32)
+        ends = np.flatnonzero(values == line[0]) if len(plain) else plain
+        ones = [e.ids for e in self.a.encode_batch_fast([" " + texts[i] for i in other.tolist()], add_special_tokens=False)]
+        counts = np.zeros(len(texts), np.int64)
+        counts[plain] = np.diff(ends, prepend=-1) - 1
+        counts[other] = np.fromiter(map(len, ones), np.int64, len(ones))
+        found = np.zeros(counts.sum(), np.int32)
+        starts = np.cumsum(counts) - counts
+        found[ranges(starts[plain], counts[plain])] = np.delete(values, ends)
+        found[ranges(starts[other], counts[other])] = np.fromiter(chain.from_iterable(ones), np.int32)
+        return found, counts
+
     def _encoded(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each chunk the number of A tokens (or why it has none), the A tokens and the B tokens."""
         texts = [chunk.decode() for chunk in chunks]
-        ones = [e.ids for e in self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
-        others = self.b.encode(texts, num_threads=1)
-        values, sizes = [], []
-        for chunk, text, one, other in zip(chunks, texts, ones, others):
-            whole = b" " + chunk
-            if b"".join([self.a_bytes[i] for i in one]) != whole or b"".join([self.b_bytes[i] for i in other]) != whole:
-                one, other, first = [], [], DIFFERENT
-            else:
-                first = len(one)
-            if not text or text != text.strip():
-                first = APART
-            values += [first, *one, *other]
-            sizes.append(1 + len(one) + len(other))
-        return np.array(values, np.int32), np.array(sizes, np.int64)
+        one, n_one = self._first(texts)
+        lists = self.b.encode(texts, num_threads=1)
+        n_other = np.fromiter(map(len, lists), np.int64, len(lists))
+        other = np.fromiter(chain.from_iterable(lists), np.int32)
+        whole = [b" " + chunk for chunk in chunks]
+        same = self.a_table.spells(one, n_one, whole) & self.b_table.spells(other, n_other, whole)
+        first = np.where(same, n_one, DIFFERENT)
+        first[np.fromiter((not t or t != t.strip() for t in texts), bool, len(texts))] = APART
+        sizes = 1 + n_one + n_other
+        starts = np.cumsum(sizes) - sizes
+        values = np.zeros(sizes.sum(), np.int32)
+        values[starts] = first
+        values[ranges(starts + 1, n_one)] = one
+        values[ranges(starts + 1 + n_one, n_other)] = other
+        return values, sizes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A ids, B ids, and the numbers of each text's, for texts (binary, no NULL)."""
@@ -140,8 +186,8 @@ class Encoders:
                 chunk = texts[i].as_py()
                 one = self.a.encode(" " + chunk.decode(), add_special_tokens=False).ids
                 other = self.b.encode(chunk.decode())
-                joined = (b"".join([self.a_bytes[x] for x in one]), b"".join([self.b_bytes[x] for x in other]))
-                if joined != (b" " + chunk,) * 2:
+                joined = [b"".join([t.tokens[x] for x in ids]) for t, ids in ((self.a_table, one), (self.b_table, other))]
+                if joined != [b" " + chunk] * 2:
                     one, other = [], []
                 a[i], b[i] = np.array(one, np.int32), np.array(other, np.int32)
                 n_a[i], n_b[i] = len(one), len(other)
@@ -214,7 +260,7 @@ class Aligned:
 
     def __init__(self, encoders: Encoders, texts: pa.Array) -> None:
         self.a, self.b, self.n_a, self.n_b = encoders.encode(texts)
-        a_end, b_end = np.cumsum(encoders.a_size[self.a]), np.cumsum(encoders.b_size[self.b])
+        a_end, b_end = np.cumsum(encoders.a_table.sizes[self.a]), np.cumsum(encoders.b_table.sizes[self.b])
         self.groups = merged(a_end, b_end, self.n_a[self.n_a > 0])
         self.text = np.searchsorted(np.cumsum(self.n_a), self.groups[0], side="right")
         self.n_groups = np.bincount(self.text, minlength=len(texts))
@@ -290,7 +336,7 @@ FOUND = ("n_a", "n_b", "n_groups", "n_links")
 def _blocks(batches, shared, schema: pa.Schema):
     """Documents with the places of their pairs among their block's, and the pairs of each block."""
     encoders = load_encoders(*shared.value)
-    width = len(encoders.b_bytes)
+    width = len(encoders.b_table.tokens)
     task = TaskContext.get().partitionId() if TaskContext.get() else 0
     made, held, taken = 0, [], 0
 
