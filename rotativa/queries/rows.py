@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rotativa.functions.dates import date_parts
-from rotativa.operators import clean, dedupe, reports
+from rotativa.operators import clean, dedupe, reports, sketches
 from rotativa.queries.base import HEADLINES, NEWS, VALID, query, table
+from rotativa.session import new_folder
 from rotativa.sources.adapters import document_headlines, document_news, event_arrivals
 
 
@@ -141,6 +142,47 @@ def processing_stats(spark, folder):
     return reports.processing_stats(news(spark, folder))
 
 
+SKETCHED = "count(*) AS total_records, count(DISTINCT titular) AS unique_titles, count(DISTINCT enlace) AS unique_links"
+
+
+@query(
+    "sketched_stats",
+    f"""
+    WITH {NEWS}, months AS (SELECT * FROM news WHERE fecha BETWEEN DATE '2024-01-10' AND DATE '2024-02-14')
+    SELECT periodico, {SKETCHED}, true AS titles_near, true AS links_near FROM months GROUP BY periodico
+    UNION ALL SELECT 'all' AS periodico, {SKETCHED}, true AS titles_near, true AS links_near FROM months
+    """,
+)
+def sketched_stats(spark, folder):
+    """Statistics of some weeks from the sketches of their days, per source and in all, beside the exact counts.
+
+    One day is written again: it replaces itself.
+    """
+    path = new_folder(spark, "sketches")
+    rows = news(spark, folder)
+    first, last = F.lit("2024-01-10").cast("date"), F.lit("2024-02-14").cast("date")
+    sketches.write_sketches(sketches.daily_sketches(rows), path)
+    sketches.write_sketches(sketches.daily_sketches(rows.where("fecha = DATE '2024-01-12'")), path)
+    kept = sketches.between(spark.read.parquet(path), first, last)
+    exact = rows.where(F.col("fecha").between(first, last))
+    named = {"titular": "unique_titles", "enlace": "unique_links"}
+    counts = [F.count("*").alias("total_records"), *(F.count_distinct(name).alias(made) for name, made in named.items())]
+
+    def beside(estimates: DataFrame, counted: DataFrame) -> DataFrame:
+        joined = estimates.alias("e").join(counted.alias("c"), F.col("e.periodico").eqNullSafe(F.col("c.periodico")))
+        return joined.select(
+            "e.periodico",
+            "e.total_records",
+            *(f"c.{made}" for made in named.values()),
+            *(sketches.near(F.col(f"e.{made}"), F.col(f"c.{made}")).alias(f"{made[7:]}_near") for made in named.values()),
+        )
+
+    every = F.lit("all").alias("periodico")
+    by_source = beside(sketches.merged_statistics(kept, "periodico"), exact.groupBy("periodico").agg(*counts))
+    in_all = beside(sketches.merged_statistics(kept).select(every, "*"), exact.agg(*counts).select(every, "*"))
+    return by_source.unionByName(in_all)
+
+
 @query(
     "count_by_source",
     f"WITH {HEADLINES} SELECT periodico, count(*) AS total_articles FROM headlines GROUP BY periodico",

@@ -11,6 +11,7 @@ from rotativa.sinks.files import write_headline_files
 from rotativa.sources.adapters import document_headlines, event_arrivals
 from rotativa.streaming.incremental import load_new_headlines, stored_rows
 from rotativa.streaming.ingest import append_stream, arriving_headline_files, arriving_table
+from rotativa.streaming.repeats import keep_first
 from rotativa.streaming.summary import keep_summary, latest_summary, running_counts
 
 
@@ -66,8 +67,41 @@ def incremental_load(spark, folder):
     """,
 )
 def stream_summary(spark, folder):
+    """Two thirds of the events arrive, then the others, which belong to the same dates."""
     root = new_folder(spark, "summary")
-    events = table(spark, folder, "events").schema
-    arriving = event_arrivals(arriving_table(spark, folder, events, "events.parquet"))
-    keep_summary(running_counts(arriving, added="ts"), f"{root}/versions", f"{root}/checkpoint").awaitTermination()
-    return latest_summary(spark, f"{root}/versions")
+    events = table(spark, folder, "events")
+    for part in (F.col("event_id") % 3 > 0, F.col("event_id") % 3 == 0):
+        events.where(part).write.mode("append").parquet(f"{root}/landing")
+        arriving = event_arrivals(arriving_table(spark, f"{root}/landing", events.schema))
+        keep_summary(running_counts(arriving, added="ts"), f"{root}/summary", f"{root}/checkpoint").awaitTermination()
+    return latest_summary(spark, f"{root}/summary")
+
+
+# Every event comes a second time so many days later.
+RETURN_DAYS, WINDOW_DAYS = 12, 14
+
+
+@query(
+    "stream_repeats",
+    f"""
+    WITH ending AS (SELECT max(ts) - INTERVAL {WINDOW_DAYS} DAY AS passed FROM events)
+    SELECT event_id, ts FROM events
+    UNION ALL
+    SELECT event_id, ts + INTERVAL {RETURN_DAYS} DAY AS ts FROM events, ending
+    WHERE ts + INTERVAL {WINDOW_DAYS} DAY <= passed AND ts + INTERVAL {RETURN_DAYS} DAY >= passed
+    """,
+)
+def stream_repeats(spark, folder):
+    """Every event arrives twice at once, then all come back later.
+
+    Of the first arrival one row stays.  What comes back is dropped while its first
+    row is remembered, or if it is older than the window; otherwise it is new again.
+    """
+    root = new_folder(spark, "repeats")
+    events = table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp"))
+    later = events.select("event_id", (F.col("ts") + F.make_dt_interval(days=F.lit(RETURN_DAYS))).alias("ts"))
+    for rows in (events.unionByName(events), later):
+        rows.write.mode("append").parquet(f"{root}/landing")
+        arriving = arriving_table(spark, f"{root}/landing", events.schema)
+        keep_first(arriving, "ts", f"{WINDOW_DAYS} days", ("event_id",), f"{root}/rows", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/rows").select("event_id", F.col("ts").cast("timestamp_ntz"))

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rotativa.operators import clean, dedupe, partitions, quality, reports
+from rotativa.operators import clean, dedupe, partitions, quality, reports, sketches
 from rotativa.plans.sink_load import load_sink
 from rotativa.schema import NEWS
 from rotativa.sinks.relational import jdbc_options
@@ -203,3 +203,20 @@ def test_schema_merge(spark):
     )
     assert merged.columns == ["x", "y", "z"]
     assert sorted(map(tuple, merged.collect()), key=repr) == sorted([("a", "b", None), ("d", None, "c")], key=repr)
+
+
+def test_sketches_merge_without_rows(spark, tmp_path):
+    rows = [(dt.date(2024, 1, 1 + i % 5), f"s{i % 3}" if i % 7 else None, f"t{i % 900}", f"/{i}", None) for i in range(3000)]
+    news = spark.createDataFrame(rows, "fecha DATE, periodico STRING, titular STRING, enlace STRING, categoria STRING")
+    sketches.write_sketches(sketches.daily_sketches(news), str(tmp_path / "s"))
+    kept = spark.read.parquet(str(tmp_path / "s"))
+    whole = sketches.merged_statistics(kept).first()
+    assert whole.total_records == 3000 and whole.unique_categories == 0
+    assert abs(whole.unique_titles - 900) <= 4 * 900 * sketches.STANDARD_ERROR
+    other = sketches.merged_statistics(sketches.daily_sketches(news, "periodico")).first()  # the same rows, cut another way
+    assert abs(other.unique_titles - 900) <= 4 * 900 * sketches.STANDARD_ERROR and other.total_records == 3000
+    some = sketches.merged_statistics(sketches.between(kept, F.lit("2024-01-02").cast("date"), F.lit("2024-01-03").cast("date")), "periodico")
+    assert {r.periodico for r in some.collect()} == {"s0", "s1", "s2", None}
+    assert abs(sum(r.total_records for r in some.collect()) - 1200) == 0
+    none = sketches.merged_statistics(sketches.daily_sketches(news.limit(0))).first()
+    assert tuple(none) == (0, 0, 0, 0)

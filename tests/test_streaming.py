@@ -10,7 +10,7 @@ from rotativa.plans.headlines import follow_pages, refresh_catalog
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
-from rotativa.streaming import incremental, ingest, summary
+from rotativa.streaming import incremental, ingest, repeats, summary
 
 
 def rows_of(spark, day, *titles):
@@ -146,3 +146,46 @@ def test_following_landed_pages(spark, tmp_path):
     land("ELTIEMPO-2024-01-15.HTML", "Noticia corregida del lunes")  # a day that lands again is replaced
     assert run() == [("Noticia corregida del lunes", "eltiempo", "2024-01-15"), ("Noticia de la tarde", "elespectador", "2024-01-15")]
     spark.sql("DROP DATABASE following CASCADE")
+
+
+def test_repeats_leave_the_state(spark, tmp_path):
+    """The state holds the keys of the window, not of the stream."""
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    schema = "item LONG, moment TIMESTAMP"
+
+    def arrive(*rows):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, day)) for i, day in rows], schema).write.mode("append").parquet(source)
+        arriving = ingest.arriving_table(spark, source, spark.createDataFrame([], schema).schema)
+        run = repeats.keep_first(arriving, "moment", "3 days", ("item",), out, checkpoint)
+        run.awaitTermination()
+        return sorted((r.item, r.moment.day) for r in spark.read.parquet(out).collect()), repeats.held_keys(run)
+
+    first = [(i, 1) for i in range(100)]
+    assert arrive(*first, *first) == (first, 100)
+    rows, held = arrive((5, 2), (200, 4))
+    assert rows == sorted([*first, (200, 4)]) and held == 101
+    rows, held = arrive((201, 9), (5, 4))  # the first hundred leave the state
+    assert (201, 9) in rows and (5, 4) not in rows and held <= 2
+    rows, held = arrive((5, 10), (6, 1), (201, 10))  # one comes back as new, one is late, one is a repeat
+    assert (5, 10) in rows and (201, 10) not in rows and rows.count((6, 1)) == 1 and held <= 2
+
+
+def test_only_touched_dates_are_written(spark, tmp_path):
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    schema = "fecha DATE, periodico STRING, categoria STRING"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        arriving = ingest.arriving_table(spark, source, spark.createDataFrame([], schema).schema)
+        summary.keep_summary(summary.running_counts(arriving), str(out), str(tmp_path / "cp")).awaitTermination()
+        return {tuple(r) for r in summary.latest_summary(spark, str(out)).collect()}
+
+    def files(day):
+        return {p.name: p.stat().st_mtime_ns for p in (out / f"fecha={day}").glob("*.parquet")}
+
+    one, two, three = (dt.date(2024, 1, day) for day in (1, 2, 3))
+    arrive((one, "a", "x"), (two, "a", "x"), (two, "b", None), (three, "a", "x"), (None, "a", "x"))
+    before = files(two)
+    found = arrive((one, "a", "x"), (three, "c", None), (None, "a", "x"))
+    assert found == {(one, "a", "x", 2), (two, "a", "x", 1), (two, "b", None, 1), (three, "a", "x", 1), (three, "c", None, 1), (None, "a", "x", 2)}
+    assert files(two) == before
