@@ -311,20 +311,24 @@ def with_source(
     return pages.withColumn("periodico", named)
 
 
-def rejected(pages: DataFrame, items: Column) -> DataFrame:
-    """``path, reason`` of the pages that give no headline; the others are left out.
-
-    ``pages`` has ``path, html`` as decoded, with its ``outline``; ``items`` is the extraction.
-    """
+def reject_reason(items: Column) -> Column:
+    """Why a page (``html`` as decoded, ``outline``) gives no headline; NULL if it gives any."""
     html = F.col("html")
-    reason = (
+    return (
         F.when(html.isNull(), "not decodable")
         .when(html == "", "empty")
         .when(F.col("outline").isNull(), "not parsed")
         .when(F.coalesce(F.size(items) > 0, F.lit(False)), F.lit(None).cast("string"))
         .otherwise("no headline")
     )
-    return pages.select("path", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def rejected(pages: DataFrame, items: Column) -> DataFrame:
+    """``path, reason`` of the pages that give no headline; the others are left out.
+
+    ``pages`` has ``path, html`` as decoded, with its ``outline``; ``items`` is the extraction.
+    """
+    return pages.select("path", reject_reason(items).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def with_source_from_content(pages: DataFrame, domains: Sequence[tuple[str, str]] = SOURCE_DOMAINS) -> DataFrame:

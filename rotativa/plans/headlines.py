@@ -14,13 +14,16 @@ from rotativa.operators.extract import (
     headlines_of,
     page_items_by_markup,
     page_items_generic,
+    reject_reason,
     rejected,
     stamp,
     with_source,
 )
 from rotativa.operators.partitions import ensure_database, recreate_table, repair_partitions
-from rotativa.sinks.files import with_partition_columns, write_headline_files
-from rotativa.sources.pages import decode_pages, read_page_files, readable_pages
+from rotativa.session import discard, remove_folder, stored
+from rotativa.sinks.files import partition_folder, with_partition_columns, write_headline_files
+from rotativa.sources.pages import decode_pages, newest_files, page_of, read_page_files, readable_pages
+from rotativa.streaming.incremental import stream_identity
 from rotativa.streaming.ingest import arriving_page_files
 
 
@@ -84,33 +87,98 @@ def process_pages(
 ) -> None:
     """Read landed pages, extract their headlines and write the partitioned dataset.
 
-    Each page gives headlines or, with ``rejects_root``, a row there with the reason why not.
+    Each page gives headlines or, with ``rejects_root``, a row there with the reason
+    why not; both come from one parse, whose results are stored per page.  Of files
+    that are the same page the newest counts.
     """
-    pages = decode_pages(read_page_files(spark, raw_root))
-    write_headline_files(extract_headlines(readable_pages(pages), run_date, **options), output_root)
-    if rejects_root:
-        options.pop("always_run_date", None)
-        page_rejects(pages, **options).write.mode("overwrite").parquet(rejects_root)
+    pages = decode_pages(newest_files(read_page_files(spark, raw_root)))
+    if not rejects_root:
+        write_headline_files(extract_headlines(readable_pages(pages), run_date, **options), output_root)
+        return
+    always_run_date = options.pop("always_run_date", False)
+    outlined, items = _with_items(pages, known_only=False, **options)
+    results = stored(outlined.select("path", "periodico", items.alias("items"), reject_reason(items).alias("reason")), "page-results")
+    rows = stamp(headlines_of(results.drop("reason"), F.col("items")).drop("items"), run_date, always_run_date=always_run_date)
+    write_headline_files(with_partition_columns(rows), output_root)
+    results.where("reason IS NOT NULL").select("path", "reason").write.mode("overwrite").parquet(rejects_root)
+    discard(results)
 
 
-def follow_pages(spark: SparkSession, raw_root: str, output_root: str, checkpoint: str, run_date: str, **options) -> StreamingQuery:
-    """Extract the headlines of the pages that have landed since the last run, into the same dataset.
+_ROW = ("path", "modified", "position", *CSV_COLUMNS)
 
-    A source's page of a day that lands again replaces that day, as in a batch run.
-    """
 
-    def write(pages: DataFrame, batch_id: int) -> None:
-        write_headline_files(extract_headlines(readable_pages(decode_pages(pages)), run_date, **options), output_root)
+def follow_pages(spark: SparkSession, raw_root: str, output_root: str, checkpoint: str, run_date: str, **options) -> StreamingQuery:
+    """Extract the headlines of the pages that have landed since the last run, into the same dataset."""
+    return follow_arriving(arriving_page_files(spark, raw_root), output_root, checkpoint, run_date, **options)
+
+
+def follow_arriving(
+    arriving: DataFrame, output_root: str, checkpoint: str, run_date: str, held_root: str | None = None, **options
+) -> StreamingQuery:
+    """Headlines of arriving files (``path, modified, content``), into the partitioned dataset.
+
+    A page replaces its own rows and no others, whichever batch it comes in, so the
+    dataset ends up as a batch job over all files writes it.  The rows of every page
+    are held beside the dataset (``held_root``), by partition and batch; of a touched
+    partition the newest file of each page counts, and the partition is written
+    anew from those, or removed when nothing is left.  Other partitions are neither
+    read nor listed.  A batch that runs again replaces what it held; after a lost
+    checkpoint the same files are held twice and count once.  A page without a
+    date in its name belongs to the day it was read.
+    """
+    held_root = held_root or output_root.rstrip("/") + "-pages"
+
+    def write(files: DataFrame, batch_id: int) -> None:
+        spark = files.sparkSession
+        load = f"{stream_identity(spark, checkpoint)}-{batch_id}"
+        pages = decode_pages(files)
+        named = with_source(pages, options.get("names", SOURCE_NAMES), options.get("domains"))
+        stamped = stamp(named.select("path", "modified", "periodico"), run_date, always_run_date=options.get("always_run_date", False))
+        marks = with_partition_columns(stamped).withColumn("position", F.lit(-1))
+        rows = extract_headlines(readable_pages(pages), run_date, **options)
+        held = marks.unionByName(rows, allowMissingColumns=True).withColumn("load", F.lit(load))
+        held = stored(held.select(*_ROW, *PARTITION_COLUMNS, "load"), "held-pages")
+        (
+            held.hint("rebalance", *PARTITION_COLUMNS)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITION_COLUMNS, "load")
+            .parquet(held_root)
+        )
+        # one row per source and day of the batch
+        touched = [tuple(r) for r in held.where("position < 0").select(*PARTITION_COLUMNS).distinct().collect()]
+        if touched:
+            _publish(spark, held, held_root, touched, output_root)
+        discard(held)
 
     return (
-        arriving_page_files(spark, raw_root)
-        .writeStream.option("checkpointLocation", checkpoint)
+        arriving.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(write)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _publish(spark: SparkSession, like: DataFrame, held_root: str, touched: list[tuple], output_root: str) -> None:
+    """Write the touched partitions from the held rows of their pages' newest files."""
+    folders = [f"{held_root}/{partition_folder(values)}" for values in touched]
+    held = spark.read.schema(like.schema).option("basePath", held_root).parquet(*folders)
+    newest = (
+        held.where("position < 0")
+        .groupBy(*PARTITION_COLUMNS, page_of(F.col("path")).alias("_page"))
+        .agg(F.max(F.struct("modified", "path", "load")).alias("newest"))
+        .select("newest.path", "newest.load")
+        .distinct()
+    )
+    current = stored(held.where("position >= 0").join(newest, ["path", "load"]).select(*CSV_COLUMNS, *PARTITION_COLUMNS), "current-rows")
+    write_headline_files(current, output_root)
+    left = {tuple(r) for r in current.select(*PARTITION_COLUMNS).distinct().collect()}
+    for values in touched:
+        if values not in left:
+            remove_folder(spark, f"{output_root}/{partition_folder(values)}")
+    discard(current)
+
+
 def refresh_catalog(spark: SparkSession, database: str, location: str, table: str = "headlines") -> DataFrame:
     """Define the table over the dataset, register its partitions and return it."""
     ensure_database(spark, database)

@@ -10,7 +10,7 @@ from rotativa.functions import links, paths
 from rotativa.functions import text as text_functions
 from rotativa.functions.outline import page_outline, page_text
 from rotativa.operators import extract
-from rotativa.plans.headlines import extract_headlines, page_rejects as rejects_of
+from rotativa.plans.headlines import extract_headlines, follow_arriving, page_rejects as rejects_of
 from rotativa.queries.base import (
     PAGES,
     STRICT_SITE,
@@ -22,8 +22,11 @@ from rotativa.queries.base import (
     table,
     title_case,
 )
+from rotativa.session import new_folder
 from rotativa.sources import adapters
+from rotativa.sources.headlines import read_headline_files
 from rotativa.sources.pages import decode_pages, readable_pages
+from rotativa.streaming.ingest import arriving_table
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -458,3 +461,42 @@ def headline_dispatch_generic(spark, folder):
     """Generic extraction; pages of unknown sources give no headline."""
     raw = adapters.raw_pages(pages(spark, folder)).select("path", "html")
     return extract_headlines(raw, "2024-02-01", generic=True, sites=(STRICT_SITE, TEST_SITE), names=TEST_NAMES)
+
+
+@query(
+    "followed_pages",
+    f"""
+    WITH {PAGES}, {STRICT_ROWS},
+    sourced AS (
+        SELECT *, CASE WHEN contains(lower(path), 'example.org') THEN 'org'
+                       WHEN contains(lower(path), 'example.com') THEN 'com' ELSE 'unknown' END AS periodico
+        FROM raw_pages
+    )
+    SELECT '2024-01-' || dd AS fecha, s.categoria, s.titular, s.enlace, periodico, '2024' AS year, '01' AS month, dd AS day
+    FROM sourced JOIN strict_rows s USING (page_id, path) WHERE periodico <> 'org' AND page_id % 10 <> 0
+    """,
+)
+def followed_pages(spark, folder):
+    """Two halves of the pages arrive, so that every source and day gets pages twice, and then a fifth lands again.
+
+    Half of those are as before, the others have lost their article and leave no headline.
+    """
+    root = new_folder(spark, "followed")
+    raw = adapters.strict_pages(pages(spark, folder))
+    path = F.concat(F.lit("raw/"), F.col("page_id").cast("string"), F.lit("/"), F.substring_index("path", "/", -1))
+    body = F.encode("html", "UTF-8")
+    landing = raw.select("page_id", path.alias("path"), F.lit("2024-02-01 08:00").cast("timestamp").alias("modified"), body.alias("content"))
+    again = landing.where("page_id % 5 = 0").select(
+        "page_id",
+        F.upper("path").alias("path"),
+        F.lit("2024-02-02 08:00").cast("timestamp").alias("modified"),
+        F.when(F.col("page_id") % 10 == 0, F.encode(F.lit("<p></p>"), "UTF-8")).otherwise(F.col("content")).alias("content"),
+    )
+    halves = (landing.where("page_id % 2 = 0"), landing.where("page_id % 2 = 1"))
+    for files in (*halves, again):
+        files.drop("page_id").write.mode("append").parquet(f"{root}/landing")
+        arriving = arriving_table(spark, f"{root}/landing", files.drop("page_id").schema)
+        follow_arriving(
+            arriving, f"{root}/final", f"{root}/checkpoint", "2024-02-01", sites=(STRICT_SITE, TEST_SITE), names=TEST_NAMES, exact_address=False
+        ).awaitTermination()
+    return read_headline_files(spark, f"{root}/final")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from rotativa.fixed import CSV_COLUMNS, PARTITION_COLUMNS
@@ -11,6 +13,9 @@ from rotativa.sources.headlines import CSV_OPTIONS
 # A file with embedded line breaks is read by one task, so files stay small.
 ROWS_PER_FILE = 500_000
 
+# fixed values: characters that a folder name holds as their code
+ESCAPED = "\"#%'*/:=?\\{[]^"
+
 
 def with_partition_columns(headlines: DataFrame) -> DataFrame:
     """Padded ``year, month, day`` of each row's date."""
@@ -45,3 +50,13 @@ def write_headline_files(headlines: DataFrame, path: str, rows_per_file: int = R
 def write_headline_table(headlines: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """The same folders as Parquet: splittable, typed and pruned by column."""
     _partitioned(headlines, rows_per_file).parquet(path)
+
+
+def partition_folder(values: Sequence[str | None], names: Sequence[str] = PARTITION_COLUMNS) -> str:
+    """The folder of a partition below its dataset's root, as Spark writes it."""
+    def written(value: str | None) -> str:
+        if not value:
+            return "__HIVE_DEFAULT_PARTITION__"
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in value)
+
+    return "/".join(f"{name}={written(value)}" for name, value in zip(names, values))

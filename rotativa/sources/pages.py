@@ -2,33 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rotativa.functions.paths import date_in_name, detect_source, file_base_name
+from rotativa.session import stored
 
 
 HTML_NAMES = "*.[hH][tT][mM][lL]"
+SENT_PATHS = 100_000  # paths that may be sent to all tasks; more are joined by shuffling
 
 
 def read_page_files(spark: SparkSession, root: str, *, ignore_case: bool = True) -> DataFrame:
-    """``path, content`` of every HTML file below ``root``; other files are listed and not read.
+    """``path, modified, content`` of every HTML file below ``root``; other files are listed and not read.
 
-    The listing is recursive and complete, however many files there are.
+    The listing is recursive and complete, however many files there are; a file of
+    no bytes gives no row.
     """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", HTML_NAMES if ignore_case else "*.html")
         .load(root)
-        .select("path", "content")
+        .select("path", F.col("modificationTime").alias("modified"), "content")
     )
 
 
+def page_of(path: Column) -> Column:
+    """What makes two files the same page: the path, whatever its case."""
+    return F.lower(path)
+
+
+def newest_files(files: DataFrame) -> DataFrame:
+    """Files without those that a later file of the same page replaces.
+
+    Only paths and times are compared; the files to leave out are stored, and few
+    of them are sent to all tasks.
+    """
+    names = files.select("path", "modified")
+    newest = names.groupBy(page_of(F.col("path")).alias("page")).agg(
+        F.max(F.struct("modified", "path")).alias("newest"), F.count("*").alias("files")
+    )
+    replaced = (
+        names.join(newest.where("files > 1"), page_of(F.col("path")) == F.col("page"))
+        .where(F.col("newest.path") != F.col("path"))
+        .select("path")
+    )
+    replaced = stored(replaced, "replaced-files")
+    few = replaced.count() <= SENT_PATHS
+    return files.join(F.broadcast(replaced) if few else replaced, "path", "left_anti")
+
+
 def decode_pages(files: DataFrame) -> DataFrame:
-    """``path, source, fetch_date, html``; a body that is not UTF-8 has NULL ``html``."""
+    """``path, source, fetch_date, html``; a body that is not UTF-8 has NULL ``html``.
+
+    The time of a file, ``modified``, is passed on if it is known.
+    """
     name = file_base_name(F.col("path"))
     return files.select(
         "path",
+        *(["modified"] if "modified" in files.columns else []),
         detect_source(name).alias("source"),
         date_in_name(F.col("path")).alias("fetch_date"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("html"),

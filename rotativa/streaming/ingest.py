@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,7 +36,7 @@ def arriving_headline_files(spark: SparkSession, root: str, bytes_per_batch: int
 
 
 def arriving_page_files(spark: SparkSession, root: str, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
-    """New HTML files below a folder as ``path, content``."""
+    """New HTML files below a folder as ``path, modified, content``."""
     return (
         spark.readStream.format("binaryFile")
         .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
@@ -44,7 +44,7 @@ def arriving_page_files(spark: SparkSession, root: str, bytes_per_batch: int = B
         .option("pathGlobFilter", HTML_NAMES)
         .option("maxBytesPerTrigger", bytes_per_batch)
         .load(root)
-        .select("path", "content")
+        .select("path", F.col("modificationTime").alias("modified"), "content")
     )
 
 

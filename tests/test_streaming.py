@@ -6,7 +6,7 @@ import pytest
 
 from rotativa.operators.dedupe import absent_from, one_per_sink_key
 from rotativa.operators.clean import valid_rows
-from rotativa.plans.headlines import follow_pages, refresh_catalog
+from rotativa.plans.headlines import follow_pages, process_pages, refresh_catalog
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
@@ -189,3 +189,37 @@ def test_only_touched_dates_are_written(spark, tmp_path):
     found = arrive((one, "a", "x"), (three, "c", None), (None, "a", "x"))
     assert found == {(one, "a", "x", 2), (two, "a", "x", 1), (two, "b", None, 1), (three, "a", "x", 1), (three, "c", None, 1), (None, "a", "x", 2)}
     assert files(two) == before
+
+
+def test_pages_of_one_partition_in_two_batches(spark, tmp_path):
+    """The stream keeps what a batch job over the same files writes, whatever the batches and checkpoints."""
+    raw = tmp_path / "raw"
+
+    def land(name, *titles):
+        (raw / name).parent.mkdir(parents=True, exist_ok=True)
+        (raw / name).write_text("<p>" + "".join(f"<article><h1>{t}</h1></article>" for t in titles))
+
+    def rows(root):
+        return sorted(tuple(r) for r in refresh_catalog(spark, "same", str(root)).collect())
+
+    def run(checkpoint="cp"):
+        follow_pages(spark, str(raw), str(tmp_path / "stream"), str(tmp_path / checkpoint), "2024-02-01", generic=True).awaitTermination()
+        process_pages(spark, str(raw), str(tmp_path / f"batch-{len(list(tmp_path.iterdir()))}"), "2024-02-01", generic=True)
+        batch = max(tmp_path.glob("batch-*"), key=lambda p: int(p.name[6:]))
+        found, wanted = rows(tmp_path / "stream"), rows(batch)
+        assert found == wanted
+        return [r[2] for r in found]
+
+    land("a/eltiempo-2024-01-15.html", "Primera noticia larga", "Segunda noticia larga")
+    land("a/eltiempo.html", "Noticia sin fecha en el nombre")
+    assert len(run()) == 3
+    land("b/eltiempo-2024-01-15.html", "Tercera noticia larga")
+    land("b/elespectador-2024-01-15.html", "Cuarta noticia larga")
+    assert len(run()) == 5
+    land("a/ELTIEMPO-2024-01-15.HTML", "Primera noticia corregida")  # the same page lands again
+    land("b/Elespectador-2024-01-15.html")  # and one that has nothing left
+    assert sorted(run()) == ["Noticia sin fecha en el nombre", "Primera noticia corregida", "Tercera noticia larga"]
+    assert not list((tmp_path / "stream").glob("periodico=elespectador/*/*/*"))
+    land("c/eltiempo-2024-01-15.html", "Quinta noticia larga")
+    assert len(run("another")) == 4  # reads all files again
+    spark.sql("DROP DATABASE same CASCADE")
