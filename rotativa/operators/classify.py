@@ -1,7 +1,7 @@
 """Text classification: pipeline, scoring, quality metrics, topics.
 
 The pipeline is tokens, stop words, hashed term frequencies, inverse
-document frequencies, label index, logistic regression, fitted on all rows.
+document frequencies, label index, logistic regression.
 Only the frequencies (``num_features`` numbers), the labels and the model
 coefficients reach the driver.
 """
@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.fixed import MAX_ITERATIONS, NUM_FEATURES
+from rotativa.session import reading, stored
 
 
 def _text_stages(num_features: int, stop_word_language: str) -> list:
@@ -32,6 +33,19 @@ def text_features(num_features: int = NUM_FEATURES, stop_word_language: str = "e
     return Pipeline(stages=_text_stages(num_features, stop_word_language))
 
 
+def logistic_regression(max_iterations: int = MAX_ITERATIONS, aggregation_depth: int = 2) -> LogisticRegression:
+    return LogisticRegression(
+        featuresCol="features", labelCol="labelIndex", maxIter=max_iterations, aggregationDepth=aggregation_depth
+    )
+
+
+def hashed_tfidf(rows: DataFrame, *keep: str, num_features: int = NUM_FEATURES, stop_word_language: str = "english") -> DataFrame:
+    """Kept columns and ``features``; texts are split and hashed once, stored, and weighted from there."""
+    *hashing, weighting = _text_stages(num_features, stop_word_language)
+    hashed = stored(PipelineModel(hashing).transform(rows).select(*keep, "rawFeatures"), "hashed-texts")
+    return reading(weighting.fit(hashed).transform(hashed).drop("rawFeatures"), hashed)
+
+
 def text_classifier(
     num_features: int = NUM_FEATURES,
     max_iterations: int = MAX_ITERATIONS,
@@ -43,12 +57,7 @@ def text_classifier(
         stages=[
             *_text_stages(num_features, stop_word_language),
             StringIndexer(inputCol="label", outputCol="labelIndex"),
-            LogisticRegression(
-                featuresCol="features",
-                labelCol="labelIndex",
-                maxIter=max_iterations,
-                aggregationDepth=aggregation_depth,
-            ),
+            logistic_regression(max_iterations, aggregation_depth),
         ]
     )
 

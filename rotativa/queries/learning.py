@@ -55,8 +55,7 @@ def hashing_tf(spark, folder):
 
 @query("hashing_tfidf")
 def hashing_tfidf(spark, folder):
-    rows = stored(texts(spark, folder), "texts")
-    return _entries(classify.text_features().fit(rows).transform(rows), "features")
+    return _entries(classify.hashed_tfidf(classification.dealt(texts(spark, folder)), "enlace"), "features")
 
 
 @query(
@@ -114,12 +113,39 @@ def prediction_distribution(spark, folder):
 
 @query("ml_confusion")
 def ml_confusion(spark, folder):
-    return classify.confusion(_predictions(spark, folder))
+    """On the held-out rows."""
+    return classify.confusion(classification.held_out_predictions(headlines(spark, folder), "enlace")[1])
 
 
 @query("ml_metrics")
 def ml_metrics(spark, folder):
-    return classify.quality_metrics(classify.confusion(_predictions(spark, folder)))
+    """On the held-out rows."""
+    return classification.evaluate(headlines(spark, folder), "enlace")
+
+
+HELD_OUT = "CAST('0x' || substr(md5(enlace), 1, 7) AS BIGINT) % 100 < 20"
+
+
+@query(
+    "held_out_split",
+    f"WITH {CLEAN} SELECT label, {HELD_OUT} AS held_out, count(*) AS n FROM clean GROUP BY ALL",
+)
+def held_out_split(spark, folder):
+    """Rows of each label on both sides of the split."""
+    rows = texts(spark, folder).withColumn("held_out", classification.is_held_out(F.col("enlace")))
+    return rows.groupBy("label", "held_out").agg(F.count("*").alias("n"))
+
+
+@query(
+    "held_out_label_totals",
+    f"""
+    WITH {CLEAN} SELECT label, count(*) AS n, true AS predicted FROM clean WHERE {HELD_OUT} GROUP BY label
+    """,
+)
+def held_out_label_totals(spark, folder):
+    """Scored rows of each label: those held out and no others, each with a prediction."""
+    _, rows = classification.held_out_predictions(headlines(spark, folder), "enlace")
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.every(F.col("prediction").isNotNull()).alias("predicted"))
 
 
 # A prediction that SQL can state: the length of a text, against its label's length, in three classes.
@@ -171,7 +197,7 @@ def rule_metrics(spark, folder):
 
 
 def _topics(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stored(texts(spark, folder), "texts")
+    rows = stored(classification.dealt(texts(spark, folder)), "texts")
     return reading(classify.topic_model().fit(rows).transform(rows), rows)
 
 

@@ -10,7 +10,6 @@ from rotativa.operators.clean import classifier_rows
 from rotativa.plans import classification
 from rotativa.queries.base import CLEAN, WORDS, query, table
 from rotativa.queries.rows import headlines
-from rotativa.session import stored
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,8 +102,8 @@ def stopword_filter(spark, folder):
     """,
 )
 def tfidf_terms(spark, folder):
-    words = text_features.with_words(texts(spark, folder)).select("enlace", "words")
-    return text_features.tfidf_terms(stored(words, "words"), "enlace")
+    words = text_features.with_words(classification.dealt(texts(spark, folder)))
+    return text_features.tfidf_terms(words, "enlace")
 
 
 @query(

@@ -142,3 +142,28 @@ def test_topics(headlines):
     rows = classifier_rows(headlines)
     topics = classify.topic_model(topics=2, num_features=256).fit(rows).transform(rows)
     assert topics.groupBy("topic").count().agg(F.sum("count")).first()[0] == 7
+
+
+def test_held_out_rows_are_not_fitted_on(spark):
+    rows = [(f"/{i}", "A" if i % 3 else "B", f"{'sol playa' if i % 3 else 'gol equipo'} palabra{i % 11}") for i in range(300)]
+    held_key = next(f"/x{i}" for i in range(1000) if spark.range(1).select(classification.is_held_out(F.lit(f"/x{i}"))).first()[0])
+    rows += [(held_key, "solo", "sol gol nunca vista"), (None, "A", "sol playa")]
+    headlines = spark.createDataFrame(rows, "enlace STRING, categoria STRING, titular STRING")
+    split = lambda frame: {r.enlace for r in frame.where(classification.is_held_out(F.col("enlace"))).collect()}
+    assert split(headlines) == split(headlines.repartition(7)) and None not in split(headlines)
+    assert 30 <= len(split(headlines)) <= 90
+
+    model, predictions = classification.held_out_predictions(headlines, "enlace", num_features=256)
+    found = predictions.collect()
+    assert {r.enlace for r in found} == split(headlines)
+    labels = next(s for s in model.stages if hasattr(s, "labels")).labels
+    assert set(labels) == {"A", "B"}  # the label that only a held-out row has is unknown, and no error
+    assert sum(r.labelIndex == r.prediction for r in found) == len(found) - 1
+    metrics = classification.evaluate(headlines, "enlace", num_features=256).first()
+    assert metrics.accuracy == pytest.approx((len(found) - 1) / len(found))
+
+
+def test_fits_do_not_inherit_the_files(spark):
+    one = spark.range(1000).coalesce(1)
+    parts = classification.dealt(one).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 300
