@@ -17,10 +17,10 @@ from rotativa.streaming.summary import keep_summary, latest_summary, running_cou
 
 @query("stream_ingest", f"WITH {HEADLINES} SELECT * FROM headlines")
 def stream_ingest(spark, folder):
-    """Documents as an arriving file, turned into headline rows by a stream."""
+    """Documents as arriving files, turned into headline rows by a stream; the pattern stands for a file or a folder of files."""
     root = new_folder(spark, "ingest")
     documents = table(spark, folder, "documents").schema
-    arriving = document_headlines(arriving_table(spark, folder, documents, "documents.parquet"))
+    arriving = document_headlines(arriving_table(spark, f"{folder}/document[s].parquet", documents))
     append_stream(arriving, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(arriving.schema).parquet(f"{root}/rows")
 
