@@ -69,10 +69,12 @@ def normalised(line: str) -> str:
 
 
 def line_fingerprint(words_: list[str]) -> int:
-    return majority([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words_])
+    """Of 20-bit hashes of the words."""
+    codes = [(xxhash.xxh64_intdigest(w.encode(), seed=42) & 0xFFFFF) + 0x10000 for w in words_]
+    return majority([xxhash.xxh64_intdigest(code.to_bytes(4, "little"), seed=42) for code in codes])
 
 
-def without_repeated_lines(texts: list[str | None], apart: int = 3, similarity: float = 0.8) -> list[str | None]:
+def without_repeated_lines(texts: list[str | None], apart: int = 14, similarity: float = 0.8) -> list[str | None]:
     places = defaultdict(list)
     for i, text in enumerate(texts):
         for j, line in enumerate((text or "").split("\n")):
