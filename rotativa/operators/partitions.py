@@ -12,6 +12,7 @@ from rotativa.functions.paths import level_value
 from rotativa.sources.headlines import CSV_OPTIONS
 
 KEYS = list(PARTITION_COLUMNS)
+PARTITIONS_AT_ONCE = 200  # in one statement
 
 
 # --- listings -----------------------------------------------------------------
@@ -102,6 +103,30 @@ def repair_partitions(spark: SparkSession, database: str, table: str) -> DataFra
     return partitions_missing(registered_partitions(spark, database, table), before)
 
 
+def register_partitions(spark: SparkSession, database: str, table: str, found: DataFrame, at_once: int = PARTITIONS_AT_ONCE) -> int:
+    """Register the found partitions that the catalog does not have, and return how many.
+
+    ``found`` is what arrived (announced keys, written rows), so nothing is listed:
+    the difference of two small tables goes to the catalog in batches.  Partitions
+    that are there already, and a run that is repeated, change nothing.
+    """
+    missing = partitions_missing(found.distinct(), registered_partitions(spark, database, table))
+    wanted = [tuple(row) for row in missing.where(" AND ".join(f"{name} <> ''" for name in KEYS)).collect()]
+
+    def clause(values: tuple[str, ...]) -> str:
+        pairs = (f"{name} = '{_quoted(value)}'" for name, value in zip(KEYS, values))
+        return f"PARTITION ({', '.join(pairs)})"
+
+    for low in range(0, len(wanted), at_once):
+        clauses = " ".join(map(clause, wanted[low : low + at_once]))
+        spark.sql(f"ALTER TABLE `{database}`.`{table}` ADD IF NOT EXISTS {clauses}")
+    return len(wanted)
+
+
+def _quoted(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def table_report(spark: SparkSession, database: str) -> DataFrame:
     """Each table of a database: name, location, partition keys, number of partitions."""
     rows = []
@@ -118,7 +143,9 @@ def registered_partitions(spark: SparkSession, database: str, table: str) -> Dat
     if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
         return spark.createDataFrame([], ", ".join(f"{name} STRING" for name in KEYS))
     listing = spark.sql(f"SHOW PARTITIONS `{database}`.`{table}`").withColumnRenamed("partition", "key")
-    return with_levels(listing).select(*KEYS)
+    # the catalog lists values as folder names, in which some characters stand as their code
+    plain = (F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B"))).alias(name) for name in KEYS)
+    return with_levels(listing).select(*plain)
 
 
 def drop_stray_tables(spark: SparkSession, database: str, tables: Sequence[str]) -> None:

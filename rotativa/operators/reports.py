@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rotativa.fixed import RECENT_DAYS, SHORT_TITLE_CHARACTERS
 
+# fixed value: from a median absolute deviation to a standard deviation of normal values
+MAD_SCALE = 1.4826
+
 
 def row_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("total"))
@@ -137,3 +140,53 @@ def category_trend_delta(news: DataFrame, days: int = 7) -> DataFrame:
         (F.col("cantidad") - F.lag("cantidad").over(by_day)).alias("cambio"),
         F.round(F.avg("cantidad").over(by_day.rowsBetween(1 - days, 0)), 6).alias("media"),
     )
+
+
+def calendar_trend(
+    news: DataFrame, days: int = 7, baseline: int = 14, threshold: float = 3.5, least_days: int = 7
+) -> DataFrame:
+    """Headlines per category and calendar day with the mean of the last days, and whether the day stands out.
+
+    Every category has a row for each day between the first and the last of the
+    data, with zero where nothing appeared, so "the last seven days" are days of the
+    calendar.  A day is compared with the ``baseline`` days before it: its distance
+    from their median, in units of their median absolute deviation scaled to a
+    standard deviation.  Without spread, or with fewer than ``least_days`` days
+    before it, there is no score.  Windows run over counted days, never over rows.
+    """
+    counts = count_by(news.where(F.col("fecha").isNotNull()), "categoria", "fecha", name="cantidad")
+    bounds = news.agg(F.min("fecha").alias("first"), F.max("fecha").alias("last"))
+    every = F.explode(F.sequence(bounds.select("first").scalar(), bounds.select("last").scalar()))
+    spine = counts.select("categoria").distinct().select(F.col("categoria").alias("_category"), every.alias("_day"))
+    same = (F.col("categoria").eqNullSafe(F.col("_category"))) & (F.col("fecha") == F.col("_day"))
+    daily = spine.join(counts, same, "left").select(
+        F.col("_category").alias("categoria"), F.col("_day").alias("fecha"), F.coalesce("cantidad", F.lit(0)).alias("cantidad")
+    )
+    by_day = Window.partitionBy("categoria").orderBy(F.unix_date("fecha"))
+    before = F.collect_list("cantidad").over(by_day.rangeBetween(-baseline, -1))
+    framed = daily.select(
+        "*",
+        F.avg("cantidad").over(by_day.rangeBetween(1 - days, 0)).alias("mean"),
+        before.alias("before"),
+    )
+    centred = framed.withColumn("median", _median(F.col("before")))
+    spread = _median(F.transform("before", lambda x: F.abs(x - F.col("median"))))
+    scored = centred.withColumn("spread", spread * MAD_SCALE)
+    enough = (F.size("before") >= least_days) & (F.col("spread") > 0)
+    score = F.when(enough, (F.col("cantidad") - F.col("median")) / F.col("spread"))
+    return scored.select(
+        "categoria",
+        "fecha",
+        "cantidad",
+        F.round("mean", 6).alias("media"),
+        F.round(score, 6).alias("desviacion"),
+        F.coalesce(F.abs(score) > threshold, F.lit(False)).alias("destacado"),
+    )
+
+
+def _median(values: Column) -> Column:
+    """Median of a short array; NULL when it is empty."""
+    ordered = F.array_sort(values)
+    half = (F.size(values) / 2).cast("int")
+    upper, lower = F.get(ordered, half), F.get(ordered, F.greatest(half - 1, F.lit(0)))
+    return F.when(F.size(values) % 2 == 1, upper.cast("double")).otherwise((upper + lower) / 2)

@@ -245,6 +245,20 @@ def partitions_repaired(spark, folder):
     return added
 
 
+@query("partitions_registered", f"WITH {LEVELS} SELECT * FROM found")
+def partitions_registered(spark, folder):
+    """What the catalog holds once the keys of half of the documents, then of all, have been registered."""
+    root, database = new_folder(spark, "catalog"), f"news_{uuid.uuid4().hex}"
+    partitions.ensure_database(spark, database)
+    partitions.recreate_table(spark, database, "headlines", root)
+    arrived = keys(spark, folder)
+    for listing in (arrived.where("doc_id % 2 = 0"), arrived):
+        partitions.register_partitions(spark, database, "headlines", partitions.partitions_found(listing))
+    held = stored(partitions.registered_partitions(spark, database, "headlines"), "registered")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return held
+
+
 # --- notifications ------------------------------------------------------------
 
 

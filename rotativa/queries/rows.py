@@ -246,6 +246,34 @@ def category_trend_delta(spark, folder):
     return reports.category_trend_delta(event_arrivals(table(spark, folder, "events")))
 
 
+@query(
+    "calendar_trend",
+    """
+    WITH kept AS (SELECT event_type AS categoria, CAST(ts AS DATE) AS fecha FROM events WHERE day(ts) % 9 <> 4),
+    counts AS (SELECT categoria, fecha, count(*) AS n FROM kept GROUP BY ALL),
+    days AS (SELECT CAST(unnest(generate_series(min(fecha), max(fecha), INTERVAL 1 DAY)) AS DATE) AS fecha FROM kept),
+    daily AS (
+        SELECT c.categoria, d.fecha, coalesce(n, 0) AS cantidad
+        FROM (SELECT DISTINCT categoria FROM kept) c CROSS JOIN days d LEFT JOIN counts USING (categoria, fecha)
+    ),
+    framed AS (
+        SELECT *, avg(cantidad) OVER (PARTITION BY categoria ORDER BY fecha ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS mean,
+               coalesce(list(cantidad) OVER (PARTITION BY categoria ORDER BY fecha ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), []) AS l
+        FROM daily
+    ),
+    centred AS (SELECT *, list_aggregate(l, 'median') AS m FROM framed),
+    spread AS (SELECT *, 1.4826::DOUBLE * list_aggregate(list_transform(l, lambda x: abs(x - m)), 'median') AS s FROM centred),
+    scored AS (SELECT *, CASE WHEN len(l) >= 7 AND s > 0 THEN (cantidad - m) / s END AS z FROM spread)
+    SELECT categoria, fecha, cantidad, round(mean, 6) AS media, round(z, 6) AS desviacion, coalesce(abs(z) > 3.5, false) AS destacado
+    FROM scored
+    """,
+)
+def calendar_trend(spark, folder):
+    """Events of which whole days are missing: those days count as zero."""
+    arrivals = event_arrivals(table(spark, folder, "events"))
+    return reports.calendar_trend(arrivals.where(F.day("fecha") % 9 != 4))
+
+
 @query(
     "news_summary",
     f"""

@@ -167,3 +167,22 @@ def test_pages_to_catalog(spark, tmp_path):
     partitions.drop_stray_tables(spark, "noticias_db", ["periodico_b", "no_such_table"])
     assert [t.name for t in spark.catalog.listTables("noticias_db")] == ["headlines"]
     assert partitions.registered_partitions(spark, "noticias_db", "no_such_table").count() == 0
+
+
+def test_registration_lists_nothing(spark, tmp_path, monkeypatch):
+    """Partitions are added by difference, in batches, with values that need quoting; the dataset is not looked at."""
+    root = tmp_path / "final"
+    partitions.ensure_database(spark, "registering")
+    partitions.recreate_table(spark, "registering", "headlines", str(root))
+    asked = []
+    run = spark.sql
+    monkeypatch.setattr(spark, "sql", lambda text, *rest, **more: asked.append(text) or run(text, *rest, **more))
+    monkeypatch.setattr(partitions, "list_files", None)
+    rows = [("a", "2024", "01", f"{day:02d}") for day in range(1, 8)] + [("o'b", "2024", "1", "5=x"), ("c+d", "2024", "01", "01"), ("", "2024", "01", "01")]
+    found = spark.createDataFrame(rows + rows[:2], "periodico STRING, year STRING, month STRING, day STRING")
+    assert partitions.register_partitions(spark, "registering", "headlines", found, at_once=4) == 9
+    assert sum("ADD IF NOT EXISTS" in text for text in asked) == 3 and not any("MSCK" in text for text in asked)
+    held = {tuple(r) for r in partitions.registered_partitions(spark, "registering", "headlines").collect()}
+    assert held == set(rows[:-1])
+    assert partitions.register_partitions(spark, "registering", "headlines", found) == 0
+    run("DROP DATABASE registering CASCADE")

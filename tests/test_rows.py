@@ -220,3 +220,16 @@ def test_sketches_merge_without_rows(spark, tmp_path):
     assert abs(sum(r.total_records for r in some.collect()) - 1200) == 0
     none = sketches.merged_statistics(sketches.daily_sketches(news.limit(0))).first()
     assert tuple(none) == (0, 0, 0, 0)
+
+
+def test_calendar_trend(spark):
+    start = dt.date(2024, 1, 1)
+    rows = [(start + dt.timedelta(days=i), "a") for i in range(30) if i != 20 for _ in range(40 if i == 25 else 5 + i % 3)]
+    rows += [(start, None), (start + dt.timedelta(days=29), None), (None, "a")]
+    found = reports.calendar_trend(spark.createDataFrame(rows, "fecha DATE, categoria STRING")).orderBy("categoria", "fecha").collect()
+    assert len(found) == 60 and {r.categoria for r in found} == {None, "a"}
+    days = [r for r in found if r.categoria == "a"]
+    assert days[20].cantidad == 0 and days[20].destacado and days[25].destacado and days[25].desviacion > 3.5
+    assert sum(r.destacado for r in days) == 2 and days[3].desviacion is None
+    assert days[20].media == pytest.approx(sum(r.cantidad for r in days[14:21]) / 7, abs=1e-6)
+    assert reports.calendar_trend(spark.createDataFrame([], "fecha DATE, categoria STRING")).count() == 0
