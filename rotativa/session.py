@@ -72,8 +72,8 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
-def stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the shared folder and read back.
+def stored(rows: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
+    """The rows written to the shared folder and read back; ``codec`` packs a large table more tightly.
 
     For intermediate results that are costly to make and read more than once.
     The written table cuts the lineage and outlives any executor.  Nothing reads
@@ -84,7 +84,7 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(_SHUFFLE_CLEANUP)
     spark.conf.set(_SHUFFLE_CLEANUP, "true")
     try:
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression=codec)
     finally:
         spark.conf.set(_SHUFFLE_CLEANUP, before)
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
