@@ -10,8 +10,18 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, StringIndexer, StringIndexerModel, Tokenizer
+from pyspark.ml.clustering import KMeans, LDA
+from pyspark.ml.feature import (
+    IDF,
+    CountVectorizer,
+    CountVectorizerModel,
+    HashingTF,
+    RegexTokenizer,
+    StopWordsRemover,
+    StringIndexer,
+    StringIndexerModel,
+    Tokenizer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -70,6 +80,43 @@ def topic_model(
     )
 
 
+def named_topics(
+    topics: int = 8, seed: int = 42, vocabulary: int = NUM_FEATURES, min_texts: int = 2, max_iterations: int = MAX_ITERATIONS, stop_word_language: str = "english"
+) -> Pipeline:
+    """Topics over counted words, so that each topic has terms; the vocabulary holds the most frequent words.
+
+    Only the vocabulary and a weight per topic and word reach the driver, whatever the number of texts.
+    """
+    words = StopWordsRemover.loadDefaultStopWords(stop_word_language)
+    return Pipeline(
+        stages=[
+            RegexTokenizer(inputCol="clean_text", outputCol="words", pattern=r"\s+"),
+            StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=words),
+            CountVectorizer(inputCol="filtered_words", outputCol="counts", vocabSize=vocabulary, minDF=min_texts),
+            LDA(featuresCol="counts", topicDistributionCol="mixture", k=topics, seed=seed, maxIter=max_iterations, optimizer="online"),
+        ]
+    )
+
+
+def topic_terms(model: PipelineModel, terms: int = 10) -> DataFrame:
+    """``topic, rank, term, weight``: the heaviest words of each topic of ``named_topics``."""
+    vocabulary = next(stage.vocabulary for stage in model.stages if isinstance(stage, CountVectorizerModel))
+    described = model.stages[-1].describeTopics(terms)
+    # a row per word of the vocabulary, whose size is a parameter
+    names = described.sparkSession.createDataFrame(list(enumerate(vocabulary)), "number INT, term STRING")
+    ranked = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "entry"))
+    return ranked.join(F.broadcast(names), F.col("entry.termIndices") == F.col("number")).select(
+        "topic", (F.col("rank") + 1).alias("rank"), "term", F.col("entry.termWeights").alias("weight")
+    )
+
+
+def main_topic(scored: DataFrame) -> DataFrame:
+    """Scored texts with the topic that has the largest share; a text without known words has none."""
+    shares = vector_to_array("mixture")
+    largest = (F.array_position(shares, F.array_max(shares)) - 1).cast("int")
+    return scored.withColumn("topic", F.when(F.array_max(shares) > 0, largest))
+
+
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 

@@ -213,6 +213,22 @@ def topic_rows(spark, folder):
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.every(F.col("topic").between(0, 7)).alias("in_range"))
 
 
+@query(
+    "topic_term_totals",
+    "SELECT CAST(topic AS INTEGER) AS topic, CAST(10 AS BIGINT) AS terms, true AS known, true AS falling FROM range(8) t(topic)",
+)
+def topic_term_totals(spark, folder):
+    """Topics by their words: how many each has, whether all occur in two texts or more, and whether weights fall by rank."""
+    rows = stored(classification.dealt(texts(spark, folder)), "texts")
+    terms = classify.topic_terms(classify.named_topics().fit(rows))
+    words = rows.select(F.explode(F.array_distinct(F.split("clean_text", r"\s+"))).alias("term")).groupBy("term").agg(F.count("*").alias("texts"))
+    found = terms.join(words, "term", "left").groupBy("topic")
+    pairs = F.array_sort(F.collect_list(F.struct("rank", "weight")))  # ten a topic
+    return found.agg(F.count("*").alias("terms"), F.every(F.coalesce(F.col("texts") >= 2, F.lit(False))).alias("known"), pairs.alias("p")).select(
+        "topic", "terms", "known", F.forall(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.get("p", i - 1)["weight"] >= F.get("p", i)["weight"]).alias("falling")
+    )
+
+
 def _label_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The same classifier with another label, fitted on the labelled documents and applied to all."""
     documents = table(spark, folder, "documents")

@@ -167,3 +167,15 @@ def test_fits_do_not_inherit_the_files(spark):
     one = spark.range(1000).coalesce(1)
     parts = classification.dealt(one).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(parts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 300
+
+
+def test_topics_have_words(spark):
+    rows = [("l", f"{'gol equipo partido' if i % 2 else 'voto senado ley'} palabra{i % 7}") for i in range(60)] + [("l", "unica"), ("l", " ")]
+    texts = spark.createDataFrame(rows, "label STRING, clean_text STRING")
+    model = classify.named_topics(topics=2, max_iterations=20).fit(texts)
+    terms = classify.topic_terms(model, 3).collect()
+    assert {t: {r.term for r in terms if r.topic == t} for t in (0, 1)}.values() and all(r.rank in (1, 2, 3) for r in terms)
+    assert {frozenset(r.term for r in terms if r.topic == t) for t in (0, 1)} == {frozenset(("gol", "equipo", "partido")), frozenset(("voto", "senado", "ley"))}
+    scored = classify.main_topic(model.transform(texts)).collect()
+    assert {r.topic for r in scored if "gol" in r.clean_text} != {r.topic for r in scored if "voto" in r.clean_text}
+    assert [r.topic for r in scored if r.clean_text in ("unica", " ")] == [None, None]
