@@ -7,6 +7,9 @@ an integer quota.  A shard's documents stand in a seeded order; its blocks are
 taken from the front of that stream, and from the front again once it has
 ended.  All but one document of a shard is thus taken a whole number of times.
 
+The last block of a source is cut or lengthened to the words its target leaves,
+in the source's largest shard, so a source far smaller than a block keeps its words.
+
 A quotient is compared only near the cut: seats that a group wins for certain
 follow from the divisor of its mean block, and the margin around them is
 proved in ``apportion``.  Nothing is listed per block.
@@ -121,7 +124,9 @@ def mix(
     many = targets.count()
     all_words = F.sum("source_size").over(Window.partitionBy())
     blocks = F.floor((all_words * 2 + block_words) / F.lit(2 * block_words)).cast("long")
-    sources = stored(apportion(targets.withColumn("_all", F.lit(0)), ["_all"], "place", "target", blocks, "blocks").drop("_all"), "mix-sources")
+    seated = apportion(targets.withColumn("_all", F.lit(0)), ["_all"], "place", "target", blocks, "blocks").drop("_all")
+    rest = F.floor(F.col("target") + 0.5).cast("long") - F.col("blocks") * block_words
+    sources = stored(seated.withColumn("rest", rest), "mix-sources")
 
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":" + seed)).cast("binary"))
     spread = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
@@ -134,8 +139,9 @@ def mix(
     )
     shards = (
         placed.groupBy("place", "shard")
-        .agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks"))
-        .select("place", "shard", "shard_size", "blocks")
+        .agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks"), F.first("rest").alias("rest"))
+        .withColumn("largest", F.min(F.struct(-F.col("shard_size"), "shard")).over(Window.partitionBy("place"))["shard"])
+        .select("place", "shard", "shard_size", "blocks", F.when(F.col("shard") == F.col("largest"), F.col("rest")).otherwise(0).alias("rest"))
     )
     quotas, shard_count = sized(apportion(shards, ["place"], "shard", "shard_size", F.col("blocks"), "quota"), "mix-quotas")
     in_shard = Window.partitionBy("place", "shard").orderBy("_key", F.col("doc_id").asc_nulls_last(), "size")
@@ -144,11 +150,11 @@ def mix(
         F.col("place").alias("_place"),
         F.col("shard").alias("_shard"),
         "shard_size",
-        F.least(F.col("quota") * block_words, F.col("shard_size") * cap).alias("_words"),
+        F.least(F.greatest(F.col("quota") * block_words + F.col("rest"), F.lit(0)), F.col("shard_size") * cap).alias("_words"),
     )
     passes = F.when(F.col("shard_size") > 0, F.floor(F.col("_words") / F.col("shard_size"))).otherwise(0).cast("long")
-    rest = F.col("_words") - F.col("_passes") * F.col("shard_size")
-    part = F.least(F.greatest(rest - F.col("_before"), F.lit(0)), F.col("size"))
+    left = F.col("_words") - F.col("_passes") * F.col("shard_size")
+    part = F.least(F.greatest(left - F.col("_before"), F.lit(0)), F.col("size"))
     return (
         stream.join(small(quota, shard_count), (F.col("place") == F.col("_place")) & (F.col("shard") == F.col("_shard")))
         .withColumn("_passes", passes)
@@ -214,9 +220,13 @@ seated AS (
                       / 4294967296.0 * ceil(k.documents / CAST({ROWS_PER_SHARD} AS DOUBLE))) AS BIGINT) AS shard
     FROM sizes d JOIN sources k ON d.source IS NOT DISTINCT FROM k.source
 ), shards AS (
-    SELECT place, shard, CAST(sum(size) AS BIGINT) AS shard_size, any_value(blocks) AS seats FROM placed GROUP BY place, shard
+    SELECT place, shard, CAST(sum(size) AS BIGINT) AS shard_size, any_value(blocks) AS seats,
+           CAST(floor(any_value(target) + 0.5) AS BIGINT) - any_value(blocks) * {BLOCK_WORDS} AS rest
+    FROM placed GROUP BY place, shard
 ), near2 AS (
-    SELECT *, CAST(sum(shard_size) OVER g AS DOUBLE) AS total, count(*) OVER g AS many FROM shards WINDOW g AS (PARTITION BY place)
+    SELECT *, CAST(sum(shard_size) OVER g AS DOUBLE) AS total, count(*) OVER g AS many,
+           CASE WHEN row_number() OVER (PARTITION BY place ORDER BY shard_size DESC, shard) = 1 THEN rest ELSE 0 END AS more
+    FROM shards WINDOW g AS (PARTITION BY place)
 ), counted2 AS (
     SELECT *, CASE WHEN total > 0 THEN CAST(floor(CAST(shard_size * seats AS DOUBLE) / total + 0.5) AS BIGINT) ELSE 0 END AS n,
            CASE WHEN total > 0 THEN CAST(ceil(many * CAST(1.5 AS DOUBLE) * shard_size / total) + 1 AS BIGINT) ELSE 0 END AS m
@@ -227,8 +237,8 @@ seated AS (
     SELECT *, row_number() OVER (PARTITION BY place ORDER BY CAST(shard_size AS DOUBLE) / (seat * 2 + 1) DESC, shard, seat) AS rank
     FROM (SELECT *, unnest(generate_series(s, n + m)) AS seat FROM sure2)
 ), quotas AS (
-    SELECT place, shard, any_value(shard_size) AS shard_size, least((any_value(s) + count(*) FILTER (rank <= open AND shard_size > 0))
-           * {BLOCK_WORDS}, any_value(shard_size) * {CAP}) AS words
+    SELECT place, shard, any_value(shard_size) AS shard_size, least(greatest((any_value(s) + count(*) FILTER (rank <= open AND shard_size > 0))
+           * {BLOCK_WORDS} + any_value(more), 0), any_value(shard_size) * {CAP}) AS words
     FROM seated2 GROUP BY place, shard
 ), streamed AS (
     SELECT p.*, q.shard_size, q.words, CASE WHEN q.shard_size > 0 THEN q.words // q.shard_size ELSE 0 END AS passes,
