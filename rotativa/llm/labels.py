@@ -15,7 +15,8 @@ def labelled_sample(
 
     The ids are those with the smallest hashes, so any run and any size of table
     draws them alike.  Labels other than 0 and 1 and NULL ids are not used; an id
-    labelled both ways counts as the smaller label.
+    labelled both ways counts as the smaller label.  Of an id that several documents
+    have, the document with the smallest text hash counts, so ``rows`` bounds documents.
     """
     ids = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
@@ -25,8 +26,7 @@ def labelled_sample(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
-    return (
-        docs.select("doc_id", "text", *keep)
-        .join(small(ids, rows), F.col("doc_id") == F.col("_id"))
-        .select("doc_id", "text", *keep, "label")
-    )
+    columns = ("doc_id", "text", *keep, "label")
+    found = docs.select("doc_id", "text", *keep).join(small(ids, rows), F.col("doc_id") == F.col("_id"))
+    one = F.min_by(F.struct(*columns), F.struct(F.xxhash64("text"), "text", *keep))
+    return found.groupBy("_id").agg(one.alias("one")).select(*(F.col(f"one.{c}").alias(c) for c in columns))
