@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rotativa.fixed import CSV_COLUMNS, EL_ESPECTADOR, EL_TIEMPO, PARTITION_COLUMNS, Site
@@ -22,6 +22,8 @@ from rotativa.operators.extract import (
 from rotativa.operators.partitions import ensure_database, recreate_table, repair_partitions
 from rotativa.session import discard, remove_folder, stored
 from rotativa.sinks.files import partition_folder, with_partition_columns, write_headline_files
+from rotativa.sources.announced import fetch_pages
+from rotativa.sources.notifications import announced_objects
 from rotativa.sources.pages import decode_pages, newest_files, page_of, read_page_files, readable_pages
 from rotativa.streaming.incremental import stream_identity
 from rotativa.streaming.ingest import arriving_page_files
@@ -65,9 +67,12 @@ def _with_items(
 ) -> tuple[DataFrame, Column]:
     """Pages with source and outline, and the expression of their headlines."""
     sourced = with_source(pages, names, domains)
-    if generic and known_only:  # an unknown source has no generic profile: leave before parsing
-        sourced = sourced.where(F.col("periodico").isin([site.name for site in sites]))
-    outlined = sourced.withColumn("outline", page_outline(F.col("html")))
+    body = F.col("html")
+    if generic:  # an unknown source has no generic profile: its pages leave, or at least are not parsed
+        known = F.col("periodico").isin([site.name for site in sites])
+        sourced = sourced.where(known) if known_only else sourced
+        body = body if known_only else F.when(known | (body == ""), body).when(body.isNotNull(), "<p></p>")
+    outlined = sourced.withColumn("outline", page_outline(body))
     outline, source = F.col("outline"), F.col("periodico")
     items = (
         page_items_generic(outline, source, *sites)
@@ -112,8 +117,37 @@ def follow_pages(spark: SparkSession, raw_root: str, output_root: str, checkpoin
     return follow_arriving(arriving_page_files(spark, raw_root), output_root, checkpoint, run_date, **options)
 
 
+def follow_announced(
+    notifications: DataFrame, store: str, output_root: str, checkpoint: str, run_date: str, **options
+) -> StreamingQuery:
+    """Headlines of the pages that arriving notifications (``body``) announce, into the partitioned dataset.
+
+    A batch fetches its distinct objects by key; nothing is listed.  ``store`` stands
+    before the buckets' names.  An object that is absent, or no page, changes no
+    headline and is a reject; one announced again counts by its newest state.
+    """
+
+    def fetched(batch: DataFrame) -> DataFrame:
+        return fetch_pages(announced_objects(batch), store)
+
+    return follow_arriving(notifications, output_root, checkpoint, run_date, read=fetched, **options)
+
+
+BATCH_COUNTS = "pages BIGINT, refused BIGINT, rejected BIGINT, headlines BIGINT, load STRING"
+
+
 def follow_arriving(
-    arriving: DataFrame, output_root: str, checkpoint: str, run_date: str, held_root: str | None = None, **options
+    arriving: DataFrame,
+    output_root: str,
+    checkpoint: str,
+    run_date: str,
+    held_root: str | None = None,
+    *,
+    read: Callable[[DataFrame], DataFrame] | None = None,
+    rejects_root: str | None = None,
+    counts_root: str | None = None,
+    always_run_date: bool = False,
+    **options,
 ) -> StreamingQuery:
     """Headlines of arriving files (``path, modified, content``), into the partitioned dataset.
 
@@ -125,19 +159,52 @@ def follow_arriving(
     read nor listed.  A batch that runs again replaces what it held; after a lost
     checkpoint the same files are held twice and count once.  A page without a
     date in its name belongs to the day it was read.
+
+    ``read`` makes the files of a batch out of what arrives, with ``refused`` as the
+    reason why one has no body.  A page is fetched and parsed once.  ``rejects_root``
+    gets ``path, reason`` of what gives no headline, and ``counts_root`` one row per
+    batch, observed while its pages are parsed; both by batch, so a batch that runs
+    again replaces its own.
     """
     held_root = held_root or output_root.rstrip("/") + "-pages"
 
-    def write(files: DataFrame, batch_id: int) -> None:
-        spark = files.sparkSession
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         load = f"{stream_identity(spark, checkpoint)}-{batch_id}"
-        pages = decode_pages(files)
-        named = with_source(pages, options.get("names", SOURCE_NAMES), options.get("domains"))
-        stamped = stamp(named.select("path", "modified", "periodico"), run_date, always_run_date=options.get("always_run_date", False))
-        marks = with_partition_columns(stamped).withColumn("position", F.lit(-1))
-        rows = extract_headlines(readable_pages(pages), run_date, **options)
+        files = read(batch) if read else batch.withColumn("refused", F.lit(None).cast("string"))
+        outlined, items = _with_items(decode_pages(files), known_only=False, **options)
+        parsed = outlined.select(
+            "path", "modified", "periodico", items.alias("items"), F.coalesce("refused", reject_reason(items)).alias("reason"), "refused"
+        )
+        watched = Observation()
+        results = stored(
+            parsed.observe(
+                watched,
+                F.count_if(F.col("refused").isNull()).alias("pages"),
+                F.count("refused").alias("refused"),
+                F.count_if(F.col("reason").isNotNull() & F.col("refused").isNull()).alias("rejected"),
+                F.coalesce(F.sum(F.greatest(F.size("items"), F.lit(0))), F.lit(0)).cast("bigint").alias("headlines"),
+            ),
+            "page-results",
+        )
+        discard(*getattr(files, "working_tables", ()))
+        if rejects_root:
+            results.where("reason IS NOT NULL").select("path", "reason").write.mode("overwrite").parquet(f"{rejects_root}/load={load}")
+        if counts_root:
+            names = [entry.split()[0] for entry in BATCH_COUNTS.split(", ")][:-1]
+            schema = BATCH_COUNTS.rpartition(", ")[0]
+            counts = spark.createDataFrame([tuple(watched.get[name] for name in names)], schema)
+            counts.write.mode("overwrite").parquet(f"{counts_root}/load={load}")
+
+        def dated(rows: DataFrame) -> DataFrame:
+            return with_partition_columns(stamp(rows, run_date, always_run_date=always_run_date))
+
+        read_pages = results.where("refused IS NULL").drop("reason", "refused")
+        marks = dated(read_pages.drop("items")).withColumn("position", F.lit(-1))
+        rows = dated(headlines_of(read_pages, F.col("items")).drop("items"))
         held = marks.unionByName(rows, allowMissingColumns=True).withColumn("load", F.lit(load))
         held = stored(held.select(*_ROW, *PARTITION_COLUMNS, "load"), "held-pages")
+        discard(results)
         (
             held.hint("rebalance", *PARTITION_COLUMNS)
             .write.mode("overwrite")
@@ -159,6 +226,11 @@ def follow_arriving(
     )
 
 
+def batch_counts(spark: SparkSession, counts_root: str) -> DataFrame:
+    """One row per batch: pages read, objects refused, pages without headlines, headlines."""
+    return spark.read.schema(BATCH_COUNTS).parquet(counts_root)
+
+
 def _publish(spark: SparkSession, like: DataFrame, held_root: str, touched: list[tuple], output_root: str) -> None:
     """Write the touched partitions from the held rows of their pages' newest files."""
     folders = [f"{held_root}/{partition_folder(values)}" for values in touched]

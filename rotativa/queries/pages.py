@@ -10,7 +10,7 @@ from rotativa.functions import links, paths
 from rotativa.functions import text as text_functions
 from rotativa.functions.outline import page_outline, page_text
 from rotativa.operators import extract
-from rotativa.plans.headlines import extract_headlines, follow_arriving, page_rejects as rejects_of
+from rotativa.plans.headlines import batch_counts, extract_headlines, follow_announced, follow_arriving, page_rejects as rejects_of
 from rotativa.queries.base import (
     PAGES,
     STRICT_SITE,
@@ -500,3 +500,94 @@ def followed_pages(spark, folder):
             arriving, f"{root}/final", f"{root}/checkpoint", "2024-02-01", sites=(STRICT_SITE, TEST_SITE), names=TEST_NAMES, exact_address=False
         ).awaitTermination()
     return read_headline_files(spark, f"{root}/final")
+
+
+def _follow_announcements(spark: SparkSession, folder: str) -> str:
+    """Every page is landed; of three in five an object is announced, in two batches, each notification twice.
+
+    One in five has a copy announced that was never landed.
+    """
+    root = new_folder(spark, "announced")
+    store = f"{root}/objects/"
+    key = F.concat(F.lit("raw/"), F.col("page_id").cast("string"), F.lit("/"), F.substring_index("path", "/", -1))
+    landed = adapters.strict_pages(pages(spark, folder)).select(
+        "page_id", F.col("host").alias("bucket"), key.alias("key"), F.encode("html", "UTF-8").alias("content")
+    )
+    adapters.land_objects(landed, store)
+
+    def record(name: Column) -> Column:
+        return F.concat(F.lit('{"s3":{"bucket":{"name":"'), "bucket", F.lit('"},"object":{"key":"'), name, F.lit('"}}}'))
+
+    whole, copy = record(F.col("key")), record(F.concat(F.lit("copy/"), "key"))
+    body = F.concat(F.lit('{"Records":['), F.when(F.col("page_id") % 5 == 3, F.concat(whole, F.lit(","), copy)).otherwise(whole), F.lit("]}"))
+    announced = landed.where("page_id % 5 IN (0, 1, 3)").select("page_id", body.alias("body"))
+    for half in (0, 1):
+        bodies = announced.where(F.col("page_id") % 2 == half).select("body")
+        bodies.unionByName(bodies).write.mode("append").parquet(f"{root}/queue")
+        follow_announced(
+            arriving_table(spark, f"{root}/queue", bodies.schema),
+            store,
+            f"{root}/final",
+            f"{root}/checkpoint",
+            "2024-02-01",
+            rejects_root=f"{root}/rejects",
+            counts_root=f"{root}/counts",
+            sites=(STRICT_SITE, TEST_SITE),
+            names=TEST_NAMES,
+            exact_address=False,
+        ).awaitTermination()
+    return root
+
+
+ANNOUNCED = f"""
+WITH {PAGES}, {STRICT_ROWS},
+announced AS (
+    SELECT r.page_id, r.dd, s.categoria, s.titular, s.enlace,
+           CASE WHEN contains(lower(r.path), 'example.org') THEN 'org'
+                WHEN contains(lower(r.path), 'example.com') THEN 'com' ELSE 'unknown' END AS periodico,
+           s.page_id IS NOT NULL AND NOT contains(lower(r.path), 'example.org') AS gives
+    FROM raw_pages r LEFT JOIN strict_rows s ON r.page_id = s.page_id WHERE r.page_id % 5 IN (0, 1, 3)
+)
+"""
+
+
+@query(
+    "announced_pages",
+    ANNOUNCED
+    + """
+    SELECT '2024-01-' || dd AS fecha, categoria, titular, enlace, periodico, '2024' AS year, '01' AS month, dd AS day
+    FROM announced WHERE gives
+    """,
+)
+def announced_pages(spark, folder):
+    """Headlines of the announced pages only."""
+    return read_headline_files(spark, f"{_follow_announcements(spark, folder)}/final")
+
+
+@query(
+    "announced_batches",
+    ANNOUNCED
+    + """
+    SELECT CAST(page_id % 2 AS INTEGER) AS batch, count(*) AS pages, count(*) FILTER (page_id % 5 = 3) AS refused,
+           count(*) FILTER (NOT gives) AS rejected, count(*) FILTER (gives) AS headlines
+    FROM announced GROUP BY ALL
+    """,
+)
+def announced_batches(spark, folder):
+    """What each batch read, refused, rejected and kept, observed while it passed."""
+    counts = batch_counts(spark, f"{_follow_announcements(spark, folder)}/counts")
+    return counts.withColumn("batch", F.substring_index("load", "-", -1).cast("int")).drop("load")
+
+
+@query(
+    "announced_rejects",
+    ANNOUNCED
+    + """
+    SELECT page_id, 'no headline' AS reason FROM announced WHERE NOT gives
+    UNION ALL SELECT page_id, 'absent' AS reason FROM announced WHERE page_id % 5 = 3
+    """,
+)
+def announced_rejects(spark, folder):
+    """Announced objects that give no headline, and why."""
+    rejects = spark.read.schema("path STRING, reason STRING").parquet(f"{_follow_announcements(spark, folder)}/rejects")
+    return rejects.select(F.element_at(F.split("path", "/"), -2).cast("bigint").alias("page_id"), "reason")

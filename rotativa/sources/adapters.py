@@ -6,6 +6,7 @@ headline rows.  Every adapter covers its whole table and whole texts.
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.functions.dates import date_parts
@@ -177,3 +178,18 @@ def object_keys(documents: DataFrame) -> DataFrame:
     )
     key = F.when(fault == 10, raw).otherwise(final)
     return documents.select("doc_id", "lang", key.alias("key"), F.col("n_chars").alias("bytes"))
+
+
+def land_objects(objects: DataFrame, store: str) -> None:
+    """Write the bodies of ``bucket, key, content`` as objects below ``store``, each in the task that holds it."""
+
+    def land(batches):
+        for batch in batches:
+            for bucket, key, content in zip(*(batch.column(name).to_pylist() for name in ("bucket", "key", "content"))):
+                system, base = fs.FileSystem.from_uri(store + bucket)
+                system.create_dir(f"{base}/{key}".rpartition("/")[0], recursive=True)
+                with system.open_output_stream(f"{base}/{key}") as stream:
+                    stream.write(content)
+            yield batch.select(["key"])
+
+    objects.select("bucket", "key", "content").mapInArrow(land, "key STRING").write.format("noop").mode("overwrite").save()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rotativa.functions.paths import date_in_name, detect_source, file_base_name
+from rotativa.schema import RAW_PAGES
 from rotativa.session import stored
 
 
@@ -55,12 +56,12 @@ def newest_files(files: DataFrame) -> DataFrame:
 def decode_pages(files: DataFrame) -> DataFrame:
     """``path, source, fetch_date, html``; a body that is not UTF-8 has NULL ``html``.
 
-    The time of a file, ``modified``, is passed on if it is known.
+    The time of a file, ``modified``, and why it has no body, ``refused``, are passed on if they are known.
     """
     name = file_base_name(F.col("path"))
     return files.select(
         "path",
-        *(["modified"] if "modified" in files.columns else []),
+        *(name for name in ("modified", "refused") if name in files.columns),
         detect_source(name).alias("source"),
         date_in_name(F.col("path")).alias("fetch_date"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("html"),
@@ -83,7 +84,8 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 def land_pages(pages: DataFrame, path: str) -> None:
     """Write raw pages as a table by date and source; a landed day is replaced."""
     (
-        pages.hint("rebalance", "fetch_date", "source")
+        pages.select(*RAW_PAGES.fieldNames())
+        .hint("rebalance", "fetch_date", "source")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("fetch_date", "source")

@@ -6,7 +6,7 @@ import pytest
 
 from rotativa.operators.dedupe import absent_from, one_per_sink_key
 from rotativa.operators.clean import valid_rows
-from rotativa.plans.headlines import follow_pages, process_pages, refresh_catalog
+from rotativa.plans.headlines import batch_counts, follow_announced, follow_pages, process_pages, refresh_catalog
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
@@ -223,3 +223,57 @@ def test_pages_of_one_partition_in_two_batches(spark, tmp_path):
     land("c/eltiempo-2024-01-15.html", "Quinta noticia larga")
     assert len(run("another")) == 4  # reads all files again
     spark.sql("DROP DATABASE same CASCADE")
+
+
+def test_announced_pages_are_fetched_and_nothing_else(spark, tmp_path):
+    """Absent objects, other files and foreign paths are rejects; a page announced again counts by its newest state."""
+    store, queue = f"{tmp_path}/store/", tmp_path / "queue"
+
+    def land(key, *titles):
+        place = tmp_path / "store" / "news" / key
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_text("".join(f"<article><h1>{t}</h1></article>" for t in titles))
+
+    def announce(*keys):
+        record = '{{"s3":{{"bucket":{{"name":"news"}},"object":{{"key":"{}"}}}}}}'
+        bodies = ['{"Records":[' + record.format(key) + "]}" for key in keys] or ['{"test":true}']
+        spark.createDataFrame([(body,) for body in bodies], "body STRING").write.mode("append").parquet(str(queue))
+        stream = spark.readStream.schema("body STRING").parquet(str(queue))
+        out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+        more = {"rejects_root": f"{tmp_path}/rejects", "counts_root": f"{tmp_path}/counts", "generic": True}
+        follow_announced(stream, store, out, checkpoint, "2024-02-01", **more).awaitTermination()
+        return sorted(r.titular for r in refresh_catalog(spark, "announced", out).collect()) if (tmp_path / "out").exists() else []
+
+    def last_counts():
+        rows = batch_counts(spark, f"{tmp_path}/counts").collect()
+        last = max(rows, key=lambda r: int(r.load.rpartition("-")[2]))
+        return (last.pages, last.refused, last.rejected, last.headlines)
+
+    (tmp_path / "store").mkdir()
+    (tmp_path / "store" / "eltiempo.html").write_text("<article><h1>Fuera del almacén de noticias</h1></article>")
+    assert announce() == [] and last_counts() == (0, 0, 0, 0)  # a notification without an object
+    land("a/eltiempo-2024-01-15.html", "Primera noticia larga", "Segunda noticia larga")
+    land("b/eltiempo [1] %20+-2024-01-15.html", "Noticia con nombre difícil")
+    land("c/eltiempo-2024-01-15.html", "Noticia no anunciada")
+    land("d/otro-2024-01-15.html", "Noticia de fuente desconocida")
+    land("e/eltiempo.txt", "No es una página")
+    land("f/eltiempo.html")
+    names = ("a/eltiempo-2024-01-15.html", "b/eltiempo [1] %20+-2024-01-15.html", "d/otro-2024-01-15.html", "e/eltiempo.txt")
+    found = announce(*names, names[0], "f/eltiempo.html", "g/none.html", "../eltiempo.html", "a")
+    assert found == ["Noticia con nombre difícil", "Primera noticia larga", "Segunda noticia larga"]
+    assert last_counts() == (4, 4, 2, 3)
+    rejects = {r.path.removeprefix(f"{store}news/"): r.reason for r in spark.read.parquet(f"{tmp_path}/rejects").collect()}
+    assert rejects == {
+        "d/otro-2024-01-15.html": "no headline",
+        "e/eltiempo.txt": "not a page",
+        "f/eltiempo.html": "empty",
+        "g/none.html": "absent",
+        "../eltiempo.html": "absent",
+        "a": "not a page",
+    }
+    land("a/eltiempo-2024-01-15.html", "Primera noticia corregida")
+    assert announce(names[0]) == ["Noticia con nombre difícil", "Primera noticia corregida"]
+    (tmp_path / "store" / "news" / names[0]).unlink()
+    assert announce(names[0]) == ["Noticia con nombre difícil", "Primera noticia corregida"]
+    assert last_counts() == (0, 1, 0, 0)
+    spark.sql("DROP DATABASE announced CASCADE")
