@@ -81,3 +81,21 @@ def first_in_page(items: Column, key: str) -> Column:
 
     kept = once(F.sort_array(placed), firsts)
     return F.transform(F.sort_array(F.transform(kept, lambda pair: F.struct(pair["at"], pair["item"]))), lambda pair: pair["item"])
+
+
+def mark_repeats(items: Column, key: str, reason: str) -> Column:
+    """Judged items, in their order: of those without a ``reason``, all but the first of each key get this one."""
+    placed = F.transform(
+        items, lambda item, i: F.struct(item["reason"].isNotNull().alias("out"), item[key].alias("key"), i.alias("at"), item.alias("item"))
+    )
+
+    def marked(ordered: Column) -> Column:
+        def mark(x: Column, i: Column) -> Column:
+            before = F.get(ordered, F.greatest(i - 1, F.lit(0)))
+            repeats = ~x["out"] & (i > 0) & ~before["out"] & (before["key"] == x["key"])
+            verdict = F.when(F.coalesce(repeats, F.lit(False)), F.lit(reason)).otherwise(x["item"]["reason"])
+            return F.struct(x["at"].alias("at"), x["item"].withField("reason", verdict).alias("item"))
+
+        return F.transform(ordered, mark)
+
+    return F.transform(F.sort_array(once(F.sort_array(placed), marked)), lambda x: x["item"])

@@ -24,7 +24,7 @@ from rotativa.functions.paths import (
     file_base_name,
 )
 from rotativa.functions.values import once
-from rotativa.operators.dedupe import first_in_page
+from rotativa.operators.dedupe import first_in_page, mark_repeats
 
 Predicate = Callable[[Column], Column]
 
@@ -93,10 +93,56 @@ def has_denied_prefix(title: Column, prefixes: Sequence[str] = fixed.DENIED_TITL
     return result
 
 
+# --- verdicts on items --------------------------------------------------------
+
+Rule = tuple[str, Predicate]  # the reason for a reject, and what an item must be
+
+NO_TITLE, NO_LINK, REPEAT = "no title", "no link", "repeat"
+SHORT_TITLE, DENIED_PREFIX, FOREIGN_LINK, NO_PATH = "short title", "denied prefix", "foreign link", "no path"
+
+
+def _ruled(items: Column, judge: bool, *rules: Rule) -> Column:
+    """The items that keep to all rules; with ``judge`` all items, each with the first rule it breaks as ``reason``."""
+    if not judge:
+        return F.filter(items, both(*(rule for _, rule in rules)))
+
+    def verdict(item: Column) -> Column:
+        broken = [F.when(~F.coalesce(rule(item), F.lit(False)), reason) for reason, rule in rules]
+        return F.struct(
+            item["categoria"].alias("categoria"),
+            item["titular"].alias("titular"),
+            item["enlace"].alias("enlace"),
+            F.coalesce(*broken).alias("reason"),
+        )
+
+    return F.transform(items, verdict)
+
+
+def _firsts(items: Column, key: str, judge: bool) -> Column:
+    """The first item of each key; with ``judge`` all items, the later ones of those kept marked as repeats."""
+    return mark_repeats(items, key, REPEAT) if judge else first_in_page(items, key)
+
+
+def kept_items(judged: Column) -> Column:
+    """Of judged items those without a reason, in their order."""
+    kept = F.filter(judged, lambda item: item["reason"].isNull())
+    return F.transform(kept, lambda item: _item(item["categoria"], item["titular"], item["enlace"]))
+
+
+def rejected_items(pages: DataFrame, judged: Column) -> DataFrame:
+    """One row per item with a reason, with the page's other columns and its ``place`` among all items of the page."""
+    others = [name for name in pages.columns if name not in ("html", "outline", "items")]
+    rows = pages.select(*others, F.posexplode(judged).alias("place", "item")).where("item.reason IS NOT NULL")
+    return rows.select(*others, "place", "item.categoria", "item.titular", "item.enlace", "item.reason")
+
+
 # --- profiles -----------------------------------------------------------------
+#
+# With ``judge`` a profile gives every item it looks at, with the reason why it is
+# no headline; ``kept_items`` of those are the items it gives without.
 
 
-def strict_articles(outline: Column, site: Site = EL_TIEMPO) -> Column:
+def strict_articles(outline: Column, site: Site = EL_TIEMPO, *, judge: bool = False) -> Column:
     """Articles in the strict markup: title link inside an ``h2`` or else an ``h3``."""
     articles = F.filter(outline["elements"], both(is_tag("article"), has_class_like(fixed.STRICT_ARTICLE_CLASS)))
 
@@ -128,10 +174,12 @@ def strict_articles(outline: Column, site: Site = EL_TIEMPO) -> Column:
             absolute_link(F.coalesce(hit["link"]["href"], F.lit("")), site.base_url),
         ),
     )
-    return F.filter(items, lambda item: (item["titular"] != "") & (item["enlace"] != ""))
+    return _ruled(items, judge, (NO_TITLE, lambda item: item["titular"] != ""), (NO_LINK, lambda item: item["enlace"] != ""))
 
 
-def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True) -> Column:
+def cards(
+    outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True, judge: bool = False
+) -> Column:
     """Cards whose first link leads to the site; nested cards each count.
 
     ``exact_address`` strips only the site's own address before the category is
@@ -162,13 +210,19 @@ def cards(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool =
             part["link"]["href"],
         ),
     )
-    return F.filter(
+    return _ruled(
         items,
-        lambda item: is_site_link(item["enlace"], site) & has_path(item["enlace"], site) & is_long_title(item["titular"]),
+        judge,
+        (NO_LINK, lambda item: item["enlace"].isNotNull()),
+        (FOREIGN_LINK, lambda item: is_site_link(item["enlace"], site)),
+        (NO_PATH, lambda item: has_path(item["enlace"], site)),
+        (SHORT_TITLE, lambda item: is_long_title(item["titular"])),
     )
 
 
-def heading_links(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True) -> Column:
+def heading_links(
+    outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True, judge: bool = False
+) -> Column:
     """Headings that hold a link to the site."""
     headings = F.filter(outline["elements"], is_tag("h1", "h2", "h3", "h4"))
     links = F.transform(headings, lambda heading: first(inside(outline, heading), is_link))
@@ -178,15 +232,22 @@ def heading_links(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address:
             url_category(link["href"], site if exact_address else None), text(outline, link), link["href"]
         ),
     )
-    return F.filter(items, lambda item: is_site_link(item["enlace"], site) & is_long_title(item["titular"]))
+    return _ruled(
+        items,
+        judge,
+        (NO_LINK, lambda item: item["enlace"].isNotNull()),
+        (FOREIGN_LINK, lambda item: is_site_link(item["enlace"], site)),
+        (SHORT_TITLE, lambda item: is_long_title(item["titular"])),
+    )
 
 
-def cards_and_headings(outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True) -> Column:
+def cards_and_headings(
+    outline: Column, site: Site = EL_ESPECTADOR, *, exact_address: bool = True, judge: bool = False
+) -> Column:
     """Cards, then headings; the first item of each link is kept."""
-    items = F.concat(
-        cards(outline, site, exact_address=exact_address), heading_links(outline, site, exact_address=exact_address)
-    )
-    return first_in_page(items, "enlace")
+    rules = {"exact_address": exact_address, "judge": judge}
+    items = F.concat(cards(outline, site, **rules), heading_links(outline, site, **rules))
+    return _firsts(items, "enlace", judge)
 
 
 def _blocks(outline: Column) -> Column:
@@ -235,23 +296,25 @@ def _block_items(outline: Column, blocks: Column, title_link: Predicate, site: S
     )
 
 
-def generic_articles(outline: Column, site: Site = EL_TIEMPO) -> Column:
+def generic_articles(outline: Column, site: Site = EL_TIEMPO, *, judge: bool = False) -> Column:
     """Article blocks with a long title; the link may be empty."""
     title_link = both(is_tag("a"), has_class_like(*fixed.GENERIC_TITLE_CLASSES))
     items = _block_items(outline, _blocks(outline), title_link, site)
-    return F.filter(items, lambda item: is_long_title(item["titular"]))
+    return _ruled(items, judge, (SHORT_TITLE, lambda item: is_long_title(item["titular"])))
 
 
 def generic_articles_or_links(
-    outline: Column, site: Site = EL_ESPECTADOR, *, longer_than: int = fixed.MIN_TITLE_LENGTH
+    outline: Column, site: Site = EL_ESPECTADOR, *, longer_than: int = fixed.MIN_TITLE_LENGTH, judge: bool = False
 ) -> Column:
     """Article blocks, or every link when there is none; the first item of each title is kept."""
     blocks = _either(_blocks(outline), F.filter(outline["elements"], is_link))
-    items = F.filter(
+    items = _ruled(
         _block_items(outline, blocks, is_tag("a"), site),
-        lambda item: is_long_title(item["titular"], longer_than) & ~has_denied_prefix(item["titular"]),
+        judge,
+        (SHORT_TITLE, lambda item: is_long_title(item["titular"], longer_than)),
+        (DENIED_PREFIX, lambda item: ~has_denied_prefix(item["titular"])),
     )
-    return first_in_page(items, "titular")
+    return _firsts(items, "titular", judge)
 
 
 # --- dispatch by source -------------------------------------------------------
@@ -264,22 +327,27 @@ def page_items_by_markup(
     card_site: Site = EL_ESPECTADOR,
     *,
     exact_address: bool = True,
+    judge: bool = False,
 ) -> Column:
     """Site-specific profiles; an unknown source tries the strict one first."""
-    strict = F.when(source != card_site.name, strict_articles(outline, strict_site))
-    carded = cards_and_headings(outline, card_site, exact_address=exact_address)
+    strict = F.when(source != card_site.name, strict_articles(outline, strict_site, judge=judge))
+    carded = cards_and_headings(outline, card_site, exact_address=exact_address, judge=judge)
+
+    def any_kept(found: Column) -> Column:
+        return F.exists(found, lambda item: item["reason"].isNull()) if judge else F.size(found) > 0
+
     return once(
         strict,
-        lambda found: F.when((source == strict_site.name) | (F.size(found) > 0), found).otherwise(carded),
+        lambda found: F.when((source == strict_site.name) | any_kept(found), found).otherwise(carded),
     )
 
 
 def page_items_generic(
-    outline: Column, source: Column, article_site: Site = EL_TIEMPO, link_site: Site = EL_ESPECTADOR
+    outline: Column, source: Column, article_site: Site = EL_TIEMPO, link_site: Site = EL_ESPECTADOR, *, judge: bool = False
 ) -> Column:
     """Generic profiles; an unknown source gives no headline."""
-    return F.when(source == article_site.name, generic_articles(outline, article_site)).when(
-        source == link_site.name, generic_articles_or_links(outline, link_site)
+    return F.when(source == article_site.name, generic_articles(outline, article_site, judge=judge)).when(
+        source == link_site.name, generic_articles_or_links(outline, link_site, judge=judge)
     )
 
 

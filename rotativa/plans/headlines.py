@@ -12,10 +12,12 @@ from rotativa.functions.outline import page_outline
 from rotativa.functions.paths import SOURCE_NAMES
 from rotativa.operators.extract import (
     headlines_of,
+    kept_items,
     page_items_by_markup,
     page_items_generic,
     reject_reason,
     rejected,
+    rejected_items,
     stamp,
     with_source,
 )
@@ -64,6 +66,7 @@ def _with_items(
     names: Sequence[tuple[str, str]] = SOURCE_NAMES,
     domains: Sequence[tuple[str, str]] | None = None,
     known_only: bool = True,
+    judge: bool = False,
 ) -> tuple[DataFrame, Column]:
     """Pages with source and outline, and the expression of their headlines."""
     sourced = with_source(pages, names, domains)
@@ -75,9 +78,9 @@ def _with_items(
     outlined = sourced.withColumn("outline", page_outline(body))
     outline, source = F.col("outline"), F.col("periodico")
     items = (
-        page_items_generic(outline, source, *sites)
+        page_items_generic(outline, source, *sites, judge=judge)
         if generic
-        else page_items_by_markup(outline, source, *sites, exact_address=exact_address)
+        else page_items_by_markup(outline, source, *sites, exact_address=exact_address, judge=judge)
     )
     return outlined, items
 
@@ -87,25 +90,42 @@ def page_rejects(pages: DataFrame, **options) -> DataFrame:
     return rejected(*_with_items(pages, known_only=False, **options))
 
 
+def _judged_pages(pages: DataFrame, **options) -> DataFrame:
+    """Pages (decoded) with their judged ``items`` and, if none is kept, the ``reason``; for storing, from one parse."""
+    outlined, items = _with_items(pages, known_only=False, judge=True, **options)
+    found = outlined.withColumn("items", items)
+    return found.withColumn("reason", reject_reason(kept_items(F.col("items")))).drop("html", "outline")
+
+
 def process_pages(
-    spark: SparkSession, raw_root: str, output_root: str, run_date: str, rejects_root: str | None = None, **options
+    spark: SparkSession,
+    raw_root: str,
+    output_root: str,
+    run_date: str,
+    rejects_root: str | None = None,
+    item_rejects_root: str | None = None,
+    **options,
 ) -> None:
     """Read landed pages, extract their headlines and write the partitioned dataset.
 
     Each page gives headlines or, with ``rejects_root``, a row there with the reason
-    why not; both come from one parse, whose results are stored per page.  Of files
+    why not; ``item_rejects_root`` gets the items that are no headlines, each with its
+    reason.  All come from one parse, whose results are stored per page.  Of files
     that are the same page the newest counts.
     """
     pages = decode_pages(newest_files(read_page_files(spark, raw_root)))
-    if not rejects_root:
+    if not rejects_root and not item_rejects_root:
         write_headline_files(extract_headlines(readable_pages(pages), run_date, **options), output_root)
         return
     always_run_date = options.pop("always_run_date", False)
-    outlined, items = _with_items(pages, known_only=False, **options)
-    results = stored(outlined.select("path", "periodico", items.alias("items"), reject_reason(items).alias("reason")), "page-results")
-    rows = stamp(headlines_of(results.drop("reason"), F.col("items")).drop("items"), run_date, always_run_date=always_run_date)
+    results = stored(_judged_pages(pages, **options).select("path", "periodico", "items", "reason"), "page-results")
+    found = headlines_of(results.drop("reason"), kept_items(F.col("items"))).drop("items")
+    rows = stamp(found, run_date, always_run_date=always_run_date)
     write_headline_files(with_partition_columns(rows), output_root)
-    results.where("reason IS NOT NULL").select("path", "reason").write.mode("overwrite").parquet(rejects_root)
+    if rejects_root:
+        results.where("reason IS NOT NULL").select("path", "reason").write.mode("overwrite").parquet(rejects_root)
+    if item_rejects_root:
+        rejected_items(results.select("path", "items"), F.col("items")).write.mode("overwrite").parquet(item_rejects_root)
     discard(results)
 
 
@@ -145,6 +165,7 @@ def follow_arriving(
     *,
     read: Callable[[DataFrame], DataFrame] | None = None,
     rejects_root: str | None = None,
+    item_rejects_root: str | None = None,
     counts_root: str | None = None,
     always_run_date: bool = False,
     **options,
@@ -162,9 +183,9 @@ def follow_arriving(
 
     ``read`` makes the files of a batch out of what arrives, with ``refused`` as the
     reason why one has no body.  A page is fetched and parsed once.  ``rejects_root``
-    gets ``path, reason`` of what gives no headline, and ``counts_root`` one row per
-    batch, observed while its pages are parsed; both by batch, so a batch that runs
-    again replaces its own.
+    gets ``path, reason`` of what gives no headline, ``item_rejects_root`` the items of
+    pages that are no headlines, and ``counts_root`` one row per batch, observed while
+    its pages are parsed; all by batch, so a batch that runs again replaces its own.
     """
     held_root = held_root or output_root.rstrip("/") + "-pages"
 
@@ -172,10 +193,9 @@ def follow_arriving(
         spark = batch.sparkSession
         load = f"{stream_identity(spark, checkpoint)}-{batch_id}"
         files = read(batch) if read else batch.withColumn("refused", F.lit(None).cast("string"))
-        outlined, items = _with_items(decode_pages(files), known_only=False, **options)
-        parsed = outlined.select(
-            "path", "modified", "periodico", items.alias("items"), F.coalesce("refused", reject_reason(items)).alias("reason"), "refused"
-        )
+        judged = _judged_pages(decode_pages(files), **options)
+        parsed = judged.select("path", "modified", "periodico", "items", F.coalesce("refused", "reason").alias("reason"), "refused")
+        kept = kept_items(F.col("items"))
         watched = Observation()
         results = stored(
             parsed.observe(
@@ -183,13 +203,16 @@ def follow_arriving(
                 F.count_if(F.col("refused").isNull()).alias("pages"),
                 F.count("refused").alias("refused"),
                 F.count_if(F.col("reason").isNotNull() & F.col("refused").isNull()).alias("rejected"),
-                F.coalesce(F.sum(F.greatest(F.size("items"), F.lit(0))), F.lit(0)).cast("bigint").alias("headlines"),
+                F.coalesce(F.sum(F.greatest(F.size(kept), F.lit(0))), F.lit(0)).cast("bigint").alias("headlines"),
             ),
             "page-results",
         )
         discard(*getattr(files, "working_tables", ()))
         if rejects_root:
             results.where("reason IS NOT NULL").select("path", "reason").write.mode("overwrite").parquet(f"{rejects_root}/load={load}")
+        if item_rejects_root:
+            items = rejected_items(results.select("path", "items"), F.col("items"))
+            items.write.mode("overwrite").parquet(f"{item_rejects_root}/load={load}")
         if counts_root:
             names = [entry.split()[0] for entry in BATCH_COUNTS.split(", ")][:-1]
             schema = BATCH_COUNTS.rpartition(", ")[0]
@@ -201,7 +224,7 @@ def follow_arriving(
 
         read_pages = results.where("refused IS NULL").drop("reason", "refused")
         marks = dated(read_pages.drop("items")).withColumn("position", F.lit(-1))
-        rows = dated(headlines_of(read_pages, F.col("items")).drop("items"))
+        rows = dated(headlines_of(read_pages, kept).drop("items"))
         held = marks.unionByName(rows, allowMissingColumns=True).withColumn("load", F.lit(load))
         held = stored(held.select(*_ROW, *PARTITION_COLUMNS, "load"), "held-pages")
         discard(results)

@@ -379,6 +379,30 @@ def dedupe_by_title(spark, folder):
     return _items(raw, extract.generic_articles_or_links, TEST_SITE, longer_than=0)
 
 
+@query(
+    "item_verdicts",
+    f"""
+    WITH {ANCHORS},
+    titled AS (SELECT page_id, position, {decoded('markup')} AS titular FROM anchors),
+    judged AS (
+        SELECT *, CASE WHEN length(titular) <= 10 THEN 'short title'
+                       WHEN regexp_matches(lower(titular), '^(buscar|seguir|compartir)') THEN 'denied prefix' END AS broken
+        FROM titled
+    )
+    SELECT page_id, position AS place, titular,
+           CASE WHEN broken IS NULL AND row_number() OVER (PARTITION BY page_id, titular, broken ORDER BY position) > 1
+                THEN 'repeat' ELSE broken END AS reason
+    FROM judged
+    """,
+)
+def item_verdicts(spark, folder):
+    """Every link of every page with its verdict; NULL is a headline."""
+    raw = extract.with_outline(adapters.unblocked_pages(pages(spark, folder)))
+    judged = extract.generic_articles_or_links(F.col("outline"), TEST_SITE, judge=True)
+    rows = raw.select("page_id", F.posexplode(judged).alias("place", "item"))
+    return rows.select("page_id", "place", "item.titular", "item.reason")
+
+
 # --- whole extraction ---------------------------------------------------------
 
 

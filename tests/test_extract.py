@@ -268,3 +268,46 @@ def test_page_census(spark):
         "cards": 1,
         "site_links": 1,
     }
+
+
+def test_verdicts_on_items(spark, items):
+    """Every item has its first broken rule, and those without one are what the profile gives."""
+    card = '<div class="Card"><h2 class="Card-Title"><a href="{}">{}</a></h2></div>'
+    html = "".join(
+        [
+            card.format(f"{ESPECTADOR}/a/1", "Titular bastante largo"),
+            card.format("https://otro.example/a", "Titular de otro sitio"),
+            card.format(f"{ESPECTADOR}/a/2", "Corto"),
+            '<div class="Card"><h2 class="Card-Title">Tarjeta sin ningún enlace</h2></div>',
+            f'<h3><a href="{ESPECTADOR}/a/1">El mismo enlace otra vez</a></h3>',
+            f'<h3><a href="{ESPECTADOR}/b/3">Otro titular bastante largo</a></h3>',
+        ]
+    )
+    pages = extract.with_outline(spark.createDataFrame([("p", html)], "path STRING, html STRING"))
+    judged = extract.cards_and_headings(F.col("outline"), judge=True)
+    found = pages.select(F.explode(judged).alias("i")).select("i.titular", "i.reason").collect()
+    assert [(r.titular, r.reason) for r in found][:4] == [
+        ("Titular bastante largo", None),
+        ("Titular de otro sitio", "foreign link"),
+        ("Corto", "short title"),
+        ("Tarjeta sin ningún enlace", "no link"),
+    ]
+    assert {r.titular: r.reason for r in found if r.reason != "no link"} | {} == {
+        "Titular bastante largo": "repeat",  # its heading holds the same link
+        "Titular de otro sitio": "foreign link",
+        "Corto": "short title",
+        "El mismo enlace otra vez": "repeat",
+        "Otro titular bastante largo": None,
+    }
+    for profile in (
+        extract.strict_articles,
+        extract.cards,
+        extract.heading_links,
+        extract.cards_and_headings,
+        extract.generic_articles,
+        extract.generic_articles_or_links,
+    ):
+        assert items(lambda outline: extract.kept_items(profile(outline, judge=True)), html) == items(profile, html)
+    rejects = extract.rejected_items(pages.withColumn("items", judged), F.col("items"))
+    assert rejects.columns == ["path", "place", "categoria", "titular", "enlace", "reason"]
+    assert rejects.count() == sum(r.reason is not None for r in found)
