@@ -9,7 +9,7 @@ from rotativa.queries.rows import headlines
 from rotativa.session import new_folder
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.adapters import document_headlines, event_arrivals
-from rotativa.streaming.incremental import load_new_headlines, stored_rows
+from rotativa.streaming.incremental import append_new_rows, compact_loads, load_new_headlines, stored_rows
 from rotativa.streaming.ingest import append_stream, arriving_headline_files, arriving_table
 from rotativa.streaming.repeats import keep_first
 from rotativa.streaming.summary import keep_summary, latest_summary, running_counts
@@ -58,6 +58,32 @@ def incremental_load(spark, folder):
     return stored_rows(spark, f"{root}/target").withColumn("batch", number).drop("load")
 
 
+@query(
+    "compacted_loads",
+    f"""
+    WITH {VALID}
+    SELECT fecha, categoria, titular, enlace, periodico,
+           CASE WHEN fecha < DATE '2024-02-01' THEN 'a-0' WHEN fecha < DATE '2024-02-10' THEN 'a-1' ELSE 'a-2' END AS load
+    FROM valid
+    QUALIFY row_number() OVER (
+        PARTITION BY fecha, rtrim(lower(strip_accents(left(titular, 500)))), rtrim(lower(strip_accents(periodico)))
+        ORDER BY enlace) = 1
+    """,
+)
+def compacted_loads(spark, folder):
+    """Two loads that overlap are compacted; a third arrives, a compacted one is run again, and all is compacted once more."""
+    target = new_folder(spark, "compacted")
+    rows = headlines(spark, folder)
+    second = rows.where(F.col("fecha").between("2024-01-25", "2024-02-09"))
+    append_new_rows(rows.where(F.col("fecha") < "2024-02-01"), "a-0", target)
+    append_new_rows(second, "a-1", target)
+    compact_loads(spark, target)
+    append_new_rows(rows.where(F.col("fecha") >= "2024-02-05"), "a-2", target)
+    append_new_rows(second, "a-1", target)
+    compact_loads(spark, target)
+    return stored_rows(spark, target)
+
+
 @query(
     "stream_summary",
     """

@@ -10,7 +10,7 @@ from rotativa.plans.headlines import batch_counts, follow_announced, follow_page
 from rotativa.schema import HEADLINES, NEWS
 from rotativa.sinks.files import write_headline_files
 from rotativa.sources.pages import decode_pages
-from rotativa.streaming import incremental, ingest, repeats, summary
+from rotativa.streaming import incremental, ingest, manifest, repeats, summary
 
 
 def rows_of(spark, day, *titles):
@@ -78,6 +78,48 @@ def test_a_lost_checkpoint_loses_and_repeats_no_row(spark, loader):
     assert rows.count() == rows.select("fecha", "titular").distinct().count() == 4
 
 
+def test_loads_are_compacted_by_date(spark, tmp_path):
+    target = str(tmp_path / "target")
+
+    def files(pattern):
+        return {str(p.relative_to(target)): p.stat().st_mtime_ns for p in (tmp_path / "target").glob(pattern + "/**/*.parquet")}
+
+    def titles():
+        return sorted((r.fecha.day, r.titular, r.load) for r in incremental.stored_rows(spark, target).collect())
+
+    assert incremental.compact_loads(spark, target) == 0 and titles() == []
+    incremental.append_new_rows(rows_of(spark, 1, "Uno", "Dos").unionByName(rows_of(spark, 2, "Cinco")), "a-0", target)
+    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), "a-1", target)
+    expected = [(1, "Dos", "a-0"), (1, "Tres", "a-1"), (1, "Uno", "a-0"), (2, "Cinco", "a-0")]
+    began = incremental.stored_rows(spark, target)
+    assert incremental.compact_loads(spark, target) == 2 and titles() == expected
+    assert sorted(r.titular for r in began.collect()) == ["Cinco", "Dos", "Tres", "Uno"]  # a reader from before the swap
+    assert len(files("merged=1/fecha=2024-01-01")) == 1 and incremental.compact_loads(spark, target) == 0
+    untouched = files("merged=1/fecha=2024-01-02")
+    incremental.append_new_rows(rows_of(spark, 1, "Dos", "Tres"), "a-1", target)  # a compacted load once more
+    assert titles() == expected
+    incremental.append_new_rows(rows_of(spark, 1, "tres", "Cuatro"), "b-0", target)
+    incremental.append_new_rows(rows_of(spark, 3, "Seis"), "b-1", target)
+    expected = sorted([*expected, (1, "Cuatro", "b-0"), (3, "Seis", "b-1")])
+    assert titles() == expected
+    assert incremental.compact_loads(spark, target) == 2 and titles() == expected
+    assert files("merged=2/fecha=2024-01-02") == {} and files("merged=1/fecha=2024-01-02") == untouched
+    assert files("open=0") == {}  # retired by the compaction before
+    incremental.append_new_rows(rows_of(spark, 1, "Siete"), "b-2", target)
+    assert incremental.compact_loads(spark, target) == 1 and files("merged=1/fecha=2024-01-01") == {}
+    assert titles() == sorted([*expected, (1, "Siete", "b-2")])
+
+
+def test_a_compaction_that_lost_the_race_changes_nothing(spark, tmp_path):
+    target = str(tmp_path / "target")
+    incremental.append_new_rows(rows_of(spark, 1, "Uno"), "a-0", target)
+    manifest.swap_manifest(spark, target, manifest.Manifest(1, {}))
+    with pytest.raises(RuntimeError):
+        manifest.swap_manifest(spark, target, manifest.Manifest(1, {"2024-01-01": 1}))
+    assert manifest.read_manifest(spark, target) == manifest.Manifest(1, {})
+    assert [p.name for p in (tmp_path / "target" / "_manifest").glob("*")  if not p.name.startswith(".")] == ["1.json"]
+
+
 def test_only_arriving_dates_of_the_target_are_read(spark, tmp_path):
     target = str(tmp_path / "target")
     incremental.append_new_rows(rows_of(spark, 1, "Uno").unionByName(rows_of(spark, 9, "Nueve")), "a-0", target)
