@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rotativa.fixed import CSV_COLUMNS, PARTITION_COLUMNS
 from rotativa.functions import paths
 from rotativa.operators import partitions, reports
+from rotativa.operators.schemas import read_reconciled
 from rotativa.plans.headlines import refresh_catalog
 from rotativa.queries.base import HEADLINES, query, table
 from rotativa.queries.rows import headlines
@@ -172,6 +173,38 @@ def schema_merge(spark, folder):
     return partitions.merge_schemas(rows.select(*CSV_COLUMNS), rows.select(*CSV_COLUMNS, "periodico"))
 
 
+@query(
+    "schema_reconciled",
+    """
+    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+           CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+           o_orderstatus AS status, CASE WHEN o_orderkey % 4 = 2 OR (o_orderkey % 4 = 3 AND o_custkey % 2 = 1) THEN o_orderpriority END AS priority,
+           CASE o_orderkey % 4 WHEN 0 THEN 'int' WHEN 1 THEN 'date' WHEN 2 THEN 'text' ELSE 'mixed' END AS part
+    FROM orders
+    """,
+)
+def schema_reconciled(spark, folder):
+    """Orders written in four layouts, one folder holding two of them, read as one table.
+
+    Keys are ``int`` or ``bigint``, customers numbers or text, dates dates or text; one field of the struct is not everywhere.
+    """
+    root = new_folder(spark, "layouts")
+    orders = table(spark, folder, "orders")
+    number, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    short = F.struct(F.col("o_orderstatus").alias("status"))
+    long = F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    price, customer = F.col("o_totalprice"), F.col("o_custkey")
+    first = [number.cast("int").alias("o_orderkey"), customer, day.alias("o_orderdate"), price, short.alias("state")]
+    second = [number, customer, day.alias("o_orderdate"), price, short.alias("state")]
+    third = [price, long.alias("state"), number, customer.cast("string").alias("o_custkey"), day.cast("string").alias("o_orderdate")]
+    for rest, part, layouts in ((0, "int", [first]), (1, "date", [second]), (2, "text", [third]), (3, "mixed", [second, third])):
+        for i, layout in enumerate(layouts):
+            own = orders.where((number % 4 == rest) & (customer % len(layouts) == i))
+            own.select(*layout).write.mode("append").parquet(f"{root}/part={part}")
+    rows = read_reconciled(spark, root, partitions.list_files(spark, root, "*.parquet"))
+    return rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "state.status", "state.priority", "part")
+
+
 _ALL_HEADLINES = f"WITH {HEADLINES} SELECT * FROM headlines"
 
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rotativa.operators import partitions, reports
+from rotativa.operators import partitions, reports, schemas
 from rotativa.plans.headlines import process_pages, refresh_catalog
 from rotativa.schema import HEADLINES
 from rotativa.session import new_folder, shared_folder
@@ -186,3 +189,57 @@ def test_registration_lists_nothing(spark, tmp_path, monkeypatch):
     assert held == set(rows[:-1])
     assert partitions.register_partitions(spark, "registering", "headlines", found) == 0
     run("DROP DATABASE registering CASCADE")
+
+
+def test_common_types(spark):
+    def common(one, other):
+        a, b = (T.StructType.fromDDL(f"x {t}") for t in (one, other))
+        return schemas.merged_schema([a, b])["x"].dataType.simpleString()
+
+    assert common("int", "bigint") == common("bigint", "smallint") == "bigint"
+    assert common("bigint", "float") == common("float", "double") == "double"
+    assert common("decimal(10,2)", "int") == "decimal(12,2)" and common("decimal(38,0)", "decimal(38,9)") == "double"
+    assert common("date", "timestamp_ntz") == "timestamp_ntz" and common("timestamp", "date") == "timestamp"
+    assert common("date", "string") == common("boolean", "int") == "string"
+    assert common("struct<a:int>", "struct<b:string,A:bigint>") == "struct<A:bigint,b:string>"
+    assert common("array<struct<a:int>>", "array<struct<a:string>>") == "array<struct<a:string>>"
+    assert common("map<string,int>", "map<string,double>") == "map<string,double>"
+    for other in ("int", "string", "array<int>"):
+        with pytest.raises(schemas.NoCommonType):
+            common("struct<a:int>", other)
+
+
+def test_files_of_several_layouts(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def write(part, schema, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/p={part}")
+
+    write(1, "k INT, d DATE, s STRUCT<a: INT>, xs ARRAY<INT>", (1, dt.date(2024, 1, 2), (5,), [1, 2]), (None, None, None, None))
+    write(2, "k BIGINT, d STRING, s STRUCT<b: STRING, a: INT>, extra FLOAT", (1 << 40, "soon", ("x", 6), 0.5))
+    write(3, "K BIGINT, m MAP<STRING, INT>", (7, {"q": 1}))
+    write(3, "k BIGINT, m MAP<STRING, BIGINT>, xs ARRAY<STRING>", (8, {"q": 2}, ["z"]))
+    files = partitions.list_files(spark, root, "*.parquet")
+    rows = schemas.read_reconciled(spark, root, files)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    assert kinds == {
+        "K": "bigint", "d": "string", "s": "struct<a:int,b:string>", "xs": "array<string>", "extra": "float", "m": "map<string,bigint>", "p": "int"
+    }
+    found = {r.K: r.asDict(True) for r in rows.collect()}
+    assert found[1] == {"K": 1, "d": "2024-01-02", "s": {"a": 5, "b": None}, "xs": ["1", "2"], "extra": None, "m": None, "p": 1}
+    assert found[1 << 40] == {"K": 1 << 40, "d": "soon", "s": {"a": 6, "b": "x"}, "xs": None, "extra": 0.5, "m": None, "p": 2}
+    assert found[None]["s"] is None and found[None]["xs"] is None and found[None]["p"] == 1
+    assert (found[7]["m"], found[8]["m"], found[8]["xs"], found[7]["d"]) == ({"q": 1}, {"q": 2}, ["z"], None)
+    assert rows.where("p = 3 AND k > 7").count() == 1
+    with pytest.raises(ValueError):
+        schemas.read_reconciled(spark, root, files.limit(0))
+
+
+def test_layouts_that_the_reader_widens_have_one_scan(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.range(3).selectExpr("CAST(id AS INT) AS k", "struct(id AS a) AS s").write.parquet(f"{root}/p=1")
+    spark.range(5, 9).selectExpr("id AS k", "struct(id AS a, 'x' AS b) AS s").write.parquet(f"{root}/p=2")
+    rows = schemas.read_reconciled(spark, root, partitions.list_files(spark, root, "*.parquet"))
+    plan = rows.where("k > 6")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "GreaterThan(k,6)" in plan
+    assert sorted(r.k for r in rows.collect()) == [0, 1, 2, 5, 6, 7, 8]
