@@ -125,30 +125,56 @@ def test_chats_read_back(spark, chats):
     assert found == {c: expected(turns) for c, turns in chats.items()}
 
 
-def test_shared_turns_are_written_once_and_seen_by_intervals(spark, chats, tmp_path):
+@pytest.mark.parametrize("pack_chars", [chat_tree.PACK_CHARS, 3000])
+def test_shared_turns_are_written_once_and_seen_by_intervals(spark, chats, tmp_path, pack_chars):
     folder = str(tmp_path / "packs")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    try:
-        chat_tree.format_conversations(rows_of(spark, chats)).write.parquet(folder)
-        packs = spark.read.parquet(folder)
-        found = {r.conv_id: tuple(r)[1:] for r in chat_tree.read_back(chat_tree.ordered(packs)).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    chat_tree.format_conversations(rows_of(spark, chats), pack_chars).write.parquet(folder)
+    packs = spark.read.parquet(folder)
+    found = {r.conv_id: tuple(r)[1:] for r in chat_tree.read_back(chat_tree.ordered(packs)).collect()}
     assert found == {c: expected(turns) for c, turns in chats.items()}
     by_pack = defaultdict(list)
     for r in packs.collect():
         by_pack[r.pack].append(r)
+    assert (len(by_pack) > 1) == (pack_chars == 3000)
     for rows in by_pack.values():
-        stream = "".join(r.text for r in sorted(rows, key=lambda r: (r.start, len(r.text))))
-        prefixes = {tuple((a or "", b or "") for a, b in chats[r.conv_id][:n]) for r in rows for n in range(1, r.n_turns + 1)}
-        assert stream.count(chat_tree.TURN) == len(prefixes)
+        stream = "".join(r.text for r in sorted(rows, key=lambda r: r.start) if not r.shared)
+        conversations = {r.conv_id for r in rows}
+        plain = {c: [(a or "", b or "") for a, b in chats[c]] for c in conversations}
+        assert stream.count(chat_tree.TURN) == len({tuple(turns[:n]) for turns in plain.values() for n in range(1, len(turns) + 1)})
         for r in rows:
             assert r.position == sum(s.end - s.start for s in r.context)
             assert all(a.end < b.start for a, b in zip(r.context, r.context[1:])) and all(s.end <= r.start for s in r.context)
-            seen = "".join(stream[s.start : s.end] for s in r.context) + r.text
-            assert [(chat_tree.unescape(a), chat_tree.unescape(b)) for a, b in chat_tree.TURNS.findall(seen)] == [
-                (a or "", b or "") for a, b in chats[r.conv_id]
-            ]
+            seen = "".join(stream[s.start : s.end] for s in r.context) + stream[r.start : r.end]
+            turns = [(chat_tree.unescape(a), chat_tree.unescape(b)) for a, b in chat_tree.TURNS.findall(seen)]
+            assert turns == plain[r.conv_id][: r.place + 1]
+            learnt = None if r.loss_start is None else chat_tree.unescape(stream[r.loss_start : r.loss_end])
+            assert learnt == (turns[-1][1] if turns[-1][0] == "assistant" else None)
+    again = {(r.conv_id, r.place): (r.role, r.text, r.learnt) for r in chat_tree.read_turns(packs).collect()}
+    assert again == {
+        (c, i): (a or "", b or "", (b or "") if a == "assistant" else None) for c, turns in chats.items() for i, (a, b) in enumerate(turns)
+    }
+
+
+def test_conversations_of_very_many_turns(spark):
+    """A third of the turns has one id, a third none; two conversations part after 600 shared turns."""
+    chats = {1: [("user" if i % 2 else "assistant", f"turn {i}") for i in range(9000)]}
+    chats[None] = [("assistant", f"turn {i % 7}") for i in range(9000)]
+    chats |= {2: chats[1][:600] + [("user", "a")], 3: chats[1][:600] + [("user", "b" * 300_000)], 4: chats[1][:600]}
+    chats |= {c: [("user", str(c)), ("assistant", "yes")] for c in range(10, 3000)}
+    formatted = chat_tree.format_conversations(rows_of(spark, chats), 100_000)
+    plan = formatted._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Aggregate" not in plan
+    found = {r.conv_id: tuple(r)[1:] for r in chat_tree.read_back(formatted).collect()}
+    assert found == {c: expected(turns) for c, turns in chats.items()}
+
+
+def test_columns_of_other_names_and_repeated_turns(spark):
+    rows = spark.createDataFrame(
+        [(1, 0, "user", "x", 5, "k"), (1, 0, "user", "x", 6, "k"), (1, None, None, None, 7, "k")],
+        "conv_id LONG, turn LONG, role STRING, text STRING, nth LONG, key STRING",
+    )
+    found = chat_tree.read_back(chat_tree.format_conversations(rows)).collect()
+    assert [tuple(r) for r in found] == [(1, *expected([("", ""), ("user", "x"), ("user", "x")]))]
 
 
 def test_no_chats(spark):
