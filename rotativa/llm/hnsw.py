@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: a navigable small-world graph per shard.
 
-Distinct vectors are dealt to shards of about ``SHARD_ROWS`` by hash.  Each shard
+Distinct vectors are dealt to shards of about ``SHARD_VALUES`` components by hash.  Each shard
 becomes one row of a stored index: its vectors, the ids of their copies, and for
 every layer a flat array of neighbours.  A search visits every shard; queries
 reach it as a stream after its graph, so a task holds one graph and one batch of
@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from rotativa.llm.vectors import comparable, cosines, first_copies, matrix, unit
 from rotativa.session import stored
 
-SHARD_ROWS = 8192
+SHARD_VALUES = 1 << 21  # components of a shard's vectors, about; bounds a task's memory whatever the length of a vector
+ENTRIES = 8  # a query's own nodes that a layer hands to the one below
 LINKS = 16
 BUILD_WIDTH = 80
-SEARCH_WIDTH = 160
+SEARCH_WIDTH = 240
 BLOCK = 256
 OPENED = 4
 
@@ -51,20 +52,21 @@ class Layer:
 
 
 def _walk(points: np.ndarray, layer: Layer, queries: np.ndarray, entries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query the nodes nearest to it that a best-first walk finds, nearest first (node -1: none)."""
+    """For each query the nodes nearest to it that a best-first walk finds from its own entries, nearest first (node -1: none)."""
     many = len(queries)
     seen = np.zeros((many, len(points) + 1), bool)
     seen[:, -1] = True  # no node
-    entries = np.unique(entries)
-    seen[:, entries] = True
+    seen[np.arange(many)[:, None], entries] = True
     node = np.full((many, width), -1)
     far = np.full((many, width), np.inf, np.float32)
     opened = np.ones((many, width), bool)
-    first = 1 - queries @ points[entries].T
+    first = 1 - np.einsum("qed,qd->qe", points[entries], queries)
+    first[entries < 0] = np.inf
     order = np.argsort(first, axis=1)[:, :width]
-    node[:, : order.shape[1]] = entries[order]
-    far[:, : order.shape[1]] = np.take_along_axis(first, order, 1)
-    opened[:, : order.shape[1]] = False
+    held = order.shape[1]
+    node[:, :held] = np.take_along_axis(entries, order, 1)
+    far[:, :held] = np.take_along_axis(first, order, 1)
+    opened[:, :held] = node[:, :held] < 0
     active = np.arange(many)
     while len(active):
         rank = np.argsort(opened[active], axis=1, kind="stable")[:, :OPENED]  # best first: open ones keep their order
@@ -174,11 +176,11 @@ def build_graph(points: np.ndarray, links: int = LINKS, width: int = BUILD_WIDTH
 
 
 def _descend(points: np.ndarray, layers: list[Layer], queries: np.ndarray, level: int, top: np.ndarray) -> np.ndarray:
-    """Entry nodes for a layer: the nearest that greedy walks through the layers above find."""
-    entry = top
+    """Each query's entry nodes for a layer: the nearest that its walk through the layers above finds, -1 where none."""
+    entry = np.broadcast_to(top, (len(queries), len(top)))
     for above in range(len(layers) - 1, level, -1):
-        node, _ = _walk(points, layers[above], queries, entry, 2)
-        entry = np.unique(node[:, 0])[:64]
+        node, _ = _walk(points, layers[above], queries, entry, ENTRIES)
+        entry = node
     return entry
 
 
@@ -200,11 +202,12 @@ INDEX = (
 )
 
 
-def build_index(rows: DataFrame, id_: str, vector: str, copies: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def build_index(rows: DataFrame, id_: str, vector: str, copies: int, shard_values: int = SHARD_VALUES) -> DataFrame:
     """The stored index: a row per shard. ``copies`` ids of each vector are kept, enough for k results."""
     usable = rows.where(comparable(F.col(vector)) & F.col(id_).isNotNull())
     nodes = stored(first_copies(usable.select(F.col(id_).alias("id"), F.col(vector).alias("vector")), "id", "vector", copies), "index-nodes")
-    shards = max(1, -(-nodes.count() // shard_rows))
+    values = nodes.agg(F.sum(F.size("vector")).alias("n")).first()["n"] or 0
+    shards = max(1, -(-values // shard_values))
     dealt = nodes.select(
         F.size("vector").alias("size"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids"
     )

@@ -195,7 +195,7 @@ def test_nearest(spark):
     rows = [(i, list(map(float, p)), 1) for i, p in enumerate(points)]
     rows += [(5000, None, 1), (5050, [0.0] * 24, 1), (5100, [float("inf")] + [1.0] * 23, 1), (None, rows[3][1], 1), (6000, [1.0, 1.0], 1)]
     given = vectors_of(spark, rows)
-    index = hnsw.build_index(given, "vec_id", "embedding", 6, shard_rows=400)
+    index = hnsw.build_index(given, "vec_id", "embedding", 6, shard_values=400 * 24)
     assert index.count() > 3
     queries = given.where("vec_id % 50 = 0").where("vec_id < 1500 OR vec_id = 6000").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     found = {}
