@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column, functions as F
 
 from rotativa.fixed import UNWANTED_CHARACTERS, UNWANTED_CHARACTERS_LOWER
@@ -31,6 +35,37 @@ def clean_text_collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(letters, r"\s+", " "))
 
 
+# fixed values: the spaces that end a text without counting
+SPACES = " \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+
+
+@cache
+def _folds() -> tuple[str, str]:
+    """The characters that folding changes and what they become; those beyond the end of the second text go."""
+    changed, removed = {}, []
+    for code in (*range(0xD800), *range(0xE000, sys.maxunicode + 1)):
+        character = chr(code)
+        parts = unicodedata.normalize("NFD", character)
+        base = unicodedata.normalize("NFC", "".join(c for c in parts if not unicodedata.category(c).startswith("M")))
+        lower = base.lower() if len(base.lower()) == 1 else base
+        if not lower:
+            removed.append(character)
+        elif lower != character:
+            changed[character] = lower
+    return "".join([*changed, *removed]), "".join(changed.values())
+
+
+def folded(text: Column) -> Column:
+    """The text without case, accents and spaces at its end; every other character stays what it is.
+
+    ``ß`` and ``ss``, a ligature and its letters, wide and narrow forms differ.  Characters are folded
+    one by one, so separate Hangul letters are not joined.
+    """
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    letters = F.rtrim(F.translate(text, *_folds()), F.lit(SPACES))
+    return F.when(ascii_only, F.rtrim(F.lower(text))).otherwise(letters)
+
+
 def title_case(text: Column) -> Column:
     """Upper-case the letter after any non-letter and lower-case the others."""
     runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +166,12 @@ def test_first_valid_date_in_a_name(column):
         dt.date(2024, 2, 29),
         None,
     ]
+
+
+def test_folded_equals_sql_for_every_character(spark):
+    codes = [*range(1, 0xD800), *range(0xE000, 0x110000)]
+    texts = spark.createDataFrame(pa.table({"id": codes, "c": [chr(code) for code in codes]}))
+    found = texts.select("id", text.folded(F.concat("c", F.lit("a "), "c")).alias("x")).toArrow()
+    wanted = "rtrim(lower(strip_accents(chr(id::INT) || 'a ' || chr(id::INT))))"
+    differing = duckdb.execute(f"SELECT count(*), sum((x <> {wanted})::INT) FROM found").fetchone()
+    assert differing == (len(codes), 0)

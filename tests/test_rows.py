@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,16 @@ def test_sink_key_ignores_case_accents_and_the_end_of_long_titles(news):
     assert sorted(r.enlace for r in exact.collect()) == ["/1", "/2", "/3", "/4", "/6"]
 
 
+def test_sink_key_of_any_text_is_that_of_the_sql(news):
+    """``ß`` and ``ss``, ligatures, wide letters and characters without width are different titles, as in SQL."""
+    titles = ["Straße", "Strasse", "STRASSE\u3000", "ﬁn", "fin", "Fín ", "ａ", "a", "a\u00ad", "a \u0301", "x²", "x2", "ΑΣ", "ας", "ασ", "Ñú", "nu\u00a0", "İ"]
+    rows = [(DAY, "C", title, f"/{i:02d}", "a") for i, title in enumerate(titles)]
+    groups = duckdb.execute("SELECT min(i) FROM (SELECT unnest(range(len($1))) AS i, unnest($1) AS t) GROUP BY rtrim(lower(strip_accents(t)))", [titles])
+    expected = sorted(f"/{i:02d}" for (i,) in groups.fetchall())
+    assert sorted(r.enlace for r in dedupe.one_per_sink_key(news(*rows)).collect()) == expected
+    assert sorted(r.enlace for r in dedupe.absent_from(news(*rows), news()).collect()) == expected
+
+
 def test_absent_from(news):
     held = news((DAY, "C", "elección", "/0", "A"), (DAY - dt.timedelta(days=9), "C", "Vieja", "/9", "a"))
     rows = news((DAY, "C", "Elección", "/1", "a"), (DAY, "C", "Nueva", "/2", "a"), (DAY, "C", "nueva", "/3", "a"), (DAY, "C", "Vieja", "/4", "a"))
