@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import cache
@@ -24,14 +25,24 @@ ENTITIES = (
 )
 
 
+def listed(characters: str) -> str:
+    """A class of characters with its ranges and white space written out one by one: the same class.
+
+    Java finds a listed character by one look into a table, while a class with
+    ranges costs it more than ten times as much a character.
+    """
+    one_by_one = re.sub("([a-zA-Z])-([a-zA-Z])", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), characters)
+    return one_by_one.replace(r"\s", " \t\n\x0b\f\r")
+
+
 def clean_text(text: Column) -> Column:
     """Delete every character outside the alphabet and the space, then lower-case."""
-    return F.lower(F.regexp_replace(text, UNWANTED_CHARACTERS, ""))
+    return F.lower(F.regexp_replace(text, listed(UNWANTED_CHARACTERS) + "+", ""))
 
 
 def clean_text_collapsed(text: Column) -> Column:
     """Lower-case, delete outside the alphabet and white space, collapse and trim it."""
-    letters = F.regexp_replace(F.lower(text), UNWANTED_CHARACTERS_LOWER, "")
+    letters = F.regexp_replace(F.lower(text), listed(UNWANTED_CHARACTERS_LOWER) + "+", "")
     return F.trim(F.regexp_replace(letters, r"\s+", " "))
 
 
