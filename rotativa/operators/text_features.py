@@ -39,11 +39,12 @@ def term_frequencies(rows: DataFrame, key: str, words: str = "words") -> DataFra
     """``key, term, tf`` of every text.
 
     A text is one row, so its words are sorted and counted in that row and
-    nothing is shuffled.
+    nothing is shuffled.  Texts without words go last: a filter before would make
+    the words a second time.
     """
-    ordered = rows.select(key, F.sort_array(words).alias("ordered")).where(F.size("ordered") > 0)
+    ordered = rows.select(key, F.sort_array(words).alias("ordered"))
     begins = F.filter(
-        F.sequence(F.lit(0), F.size("ordered") - 1),
+        F.sequence(F.lit(0), F.greatest(F.size("ordered") - 1, F.lit(0))),
         lambda i: (i == 0) | (F.get("ordered", i) != F.get("ordered", i - 1)),
     )
     runs = ordered.withColumn("begins", begins)
@@ -53,7 +54,7 @@ def term_frequencies(rows: DataFrame, key: str, words: str = "words") -> DataFra
         ends,
         lambda begin, end: F.struct(F.get("ordered", begin).alias("term"), (end - begin).cast("bigint").alias("tf")),
     )
-    return runs.select(key, F.inline(counted))
+    return runs.select(key, F.inline_outer(F.when(F.size("ordered") > 0, counted))).where("term IS NOT NULL")
 
 
 def tfidf_terms(rows: DataFrame, key: str, words: str = "words") -> DataFrame:

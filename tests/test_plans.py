@@ -53,6 +53,15 @@ def test_unknown_sources_leave_before_parsing(spark, tmp_path):
     assert plan.index("ArrowEvalPython") < plan.index("Filter ")
 
 
+def test_words_are_made_once(spark):
+    """Neither a filter on the words nor one on the generated rows makes them again, before the rows are dealt or after."""
+    rows = spark.createDataFrame([("a", "Uno dos"), ("b", " ")], "enlace STRING, clean_text STRING")
+    counted = text_features.term_frequencies(text_features.with_words(rows.repartition(2)), "enlace")
+    assert sorted(map(tuple, counted.collect())) == [("a", "dos", 1), ("a", "uno", 1)]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") == 1, plan
+
+
 def test_terms_are_counted_once(spark):
     rows = spark.createDataFrame([("k", ["a", "b"])], "key STRING, words ARRAY<STRING>")
     assert "Exchange" not in plan_of(text_features.term_frequencies(rows, "key"))
