@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -12,21 +13,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rotativa.operators.classify import confusion, logistic_regression, quality_metrics, score, text_classifier, text_features
 from rotativa.operators.clean import classifier_rows
-from rotativa.session import discard, reading, stored
+from rotativa.session import discard, read_in_parts, reading, stored
 from rotativa.sinks.predictions import save_predictions
 
+PART_BYTES = 16 << 20  # of text; vectors made of it take several times as much
 HELD_OUT_PERCENT = 20
 REGULARISATIONS = (0.0, 0.01, 0.1)
 
 
 def dealt(rows: DataFrame) -> DataFrame:
-    """The rows in equal parts, one for each task the cluster runs at a time.
+    """The rows in equal parts: one for each task the cluster runs at a time, or several of at most ``PART_BYTES`` of text.
 
     A fit reads its rows many times, so it must not inherit the layout of the files
     they come from, which may be one.  Rows go round, so no frequent text or label
-    makes a part larger.
+    makes a part larger; of a larger input there are more parts, not larger ones.
+    One pass before measures the text.
     """
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    lengths = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in rows.dtypes if kind == "string"]
+    size = rows.agg(F.sum(sum(lengths, F.lit(0)).cast("bigint")).alias("size")).first().size or 0
+    return rows.repartition(tasks * max(1, ceil(size / (PART_BYTES * tasks))))
+
+
+def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The pipeline fitted on dealt and stored rows, of which a task reads a bounded part."""
+    with read_in_parts(rows.sparkSession, PART_BYTES):
+        return pipeline.fit(rows)
 
 
 def train(headlines: DataFrame, *keep: str, label: str = "categoria", text: str = "titular", **options) -> tuple[PipelineModel, DataFrame]:
@@ -36,7 +48,7 @@ def train(headlines: DataFrame, *keep: str, label: str = "categoria", text: str
     stored once, in equal parts.
     """
     rows = stored(dealt(classifier_rows(headlines, *keep, label=label, text=text)), "classifier-rows")
-    model = text_classifier(**options).fit(rows)
+    model = fitted(text_classifier(**options), rows)
     return model, reading(score(model, rows), rows)
 
 

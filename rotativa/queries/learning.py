@@ -198,7 +198,7 @@ def rule_metrics(spark, folder):
 
 def _topics(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored(classification.dealt(texts(spark, folder)), "texts")
-    return reading(classify.topic_model().fit(rows).transform(rows), rows)
+    return reading(classification.fitted(classify.topic_model(), rows).transform(rows), rows)
 
 
 @query("topic_clusters")
@@ -220,7 +220,7 @@ def topic_rows(spark, folder):
 def topic_term_totals(spark, folder):
     """Topics by their words: how many each has, whether all occur in two texts or more, and whether weights fall by rank."""
     rows = stored(classification.dealt(texts(spark, folder)), "texts")
-    terms = classify.topic_terms(classify.named_topics().fit(rows))
+    terms = classify.topic_terms(classification.fitted(classify.named_topics(), rows))
     words = rows.select(F.explode(F.array_distinct(F.split("clean_text", r"\s+"))).alias("term")).groupBy("term").agg(F.count("*").alias("texts"))
     found = terms.join(words, "term", "left").groupBy("topic")
     pairs = F.array_sort(F.collect_list(F.struct("rank", "weight")))  # ten a topic

@@ -179,3 +179,29 @@ def test_topics_have_words(spark):
     scored = classify.main_topic(model.transform(texts)).collect()
     assert {r.topic for r in scored if "gol" in r.clean_text} != {r.topic for r in scored if "voto" in r.clean_text}
     assert [r.topic for r in scored if r.clean_text in ("unica", " ")] == [None, None]
+
+
+def test_more_text_is_dealt_to_more_parts(spark, monkeypatch):
+    """A part does not grow with the input, and all tasks are busy to the end."""
+    monkeypatch.setattr(classification, "PART_BYTES", 256 << 10, raising=False)
+    tasks = spark.sparkContext.defaultParallelism
+    for n in (2_000, 20_000, 80_000):
+        rows = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("clean_text"), F.lit(None).cast("string").alias("label"))
+        parts = [part["count"] for part in classification.dealt(rows).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(parts) == n and len(parts) % tasks == 0 and max(parts) * 64 <= 1.1 * (256 << 10)
+    assert classification.dealt(spark.createDataFrame([], "clean_text STRING")).count() == 0
+
+
+def test_a_fit_reads_bounded_parts(spark, monkeypatch, tmp_path):
+    """Files that a scan would put together are read apart while a fit lasts, and only then."""
+    monkeypatch.setattr(classification, "PART_BYTES", 4 << 20, raising=False)
+    path, parts = str(tmp_path / "rows"), []
+    spark.range(64).repartition(32).write.parquet(path)
+    rows = spark.read.parquet(path)
+
+    class Counting:
+        def fit(self, rows):
+            parts.append(rows.rdd.getNumPartitions())
+
+    classification.fitted(Counting(), rows)
+    assert parts == [32] and spark.read.parquet(path).rdd.getNumPartitions() < 32
