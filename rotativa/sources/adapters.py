@@ -185,7 +185,8 @@ def land_objects(objects: DataFrame, store: str) -> None:
 
     def land(batches):
         for batch in batches:
-            for bucket, key, content in zip(*(batch.column(name).to_pylist() for name in ("bucket", "key", "content"))):
+            for place in range(batch.num_rows):  # one body at a time is Python's object
+                bucket, key, content = (batch.column(name)[place].as_py() for name in ("bucket", "key", "content"))
                 system, base = fs.FileSystem.from_uri(store + bucket)
                 system.create_dir(f"{base}/{key}".rpartition("/")[0], recursive=True)
                 with system.open_output_stream(f"{base}/{key}") as stream:

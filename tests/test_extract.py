@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rotativa.fixed import EL_ESPECTADOR, EL_TIEMPO
+from rotativa.functions import outline
 from rotativa.operators import extract
 from rotativa.plans.headlines import extract_headlines
 
@@ -311,3 +315,14 @@ def test_verdicts_on_items(spark, items):
     rejects = extract.rejected_items(pages.withColumn("items", judged), F.col("items"))
     assert rejects.columns == ["path", "place", "categoria", "titular", "enlace", "reason"]
     assert rejects.count() == sum(r.reason is not None for r in found)
+
+
+def test_few_outlines_are_python_objects_at_a_time(monkeypatch):
+    """A batch of many pages becomes Arrow's memory in parts; the outlines are the same."""
+    pages = pa.array([f"<h1>Titular número {i}</h1>" if i % 7 else None for i in range(100)])
+    whole, made = outline._outlines(pages), []
+    monkeypatch.setattr(outline, "PARSED_CHARACTERS", 200, raising=False)
+    monkeypatch.setattr(outline, "pa", SimpleNamespace(array=lambda x, type: made.append(len(x)) or pa.array(x, type=type), concat_arrays=pa.concat_arrays))
+    assert outline._outlines(pages).equals(whole) and len(whole) == 100
+    assert sum(made) == 100 and max(made) < 20
+    assert len(outline._outlines(pages.slice(0, 0))) == 0
