@@ -49,6 +49,11 @@ def logistic_regression(max_iterations: int = MAX_ITERATIONS, aggregation_depth:
     )
 
 
+def hashing_stages(num_features: int = NUM_FEATURES, stop_word_language: str = "english") -> PipelineModel:
+    """The stages that are not fitted: words, words without stop words, hashed counts."""
+    return PipelineModel(_text_stages(num_features, stop_word_language)[:-1])
+
+
 def hashed_tfidf(rows: DataFrame, *keep: str, num_features: int = NUM_FEATURES, stop_word_language: str = "english") -> DataFrame:
     """Kept columns and ``features``; texts are split and hashed once, stored, and weighted from there."""
     *hashing, weighting = _text_stages(num_features, stop_word_language)
@@ -98,6 +103,11 @@ def named_topics(
     )
 
 
+def word_stages(topics: Pipeline) -> PipelineModel:
+    """The stages of ``named_topics`` that are not fitted: words, words without stop words."""
+    return PipelineModel(topics.getStages()[:2])
+
+
 def topic_terms(model: PipelineModel, terms: int = 10) -> DataFrame:
     """``topic, rank, term, weight``: the heaviest words of each topic of ``named_topics``."""
     vocabulary = next(stage.vocabulary for stage in model.stages if isinstance(stage, CountVectorizerModel))

@@ -27,6 +27,13 @@ def word_counts(rows: DataFrame, words: str = "words") -> DataFrame:
     return exploded.groupBy("word").agg(F.count("*").alias("n"))
 
 
+def vocabulary(rows: DataFrame, words: str, most: int, min_texts: float) -> list[str]:
+    """The ``most`` most frequent words that are in at least ``min_texts`` texts, ties by name; only these reach the driver."""
+    texts = word_counts(rows.select(F.array_distinct(words).alias(words)), words).where(F.col("n") >= min_texts)
+    ranked = word_counts(rows, words).join(texts.select("word"), "word").orderBy(F.desc("n"), "word").limit(most)
+    return [row.word for row in ranked.collect()]
+
+
 def hashed_term_frequencies(rows: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     return HashingTF(inputCol="filtered_words", outputCol="rawFeatures", numFeatures=num_features).transform(rows)
 

@@ -220,8 +220,11 @@ def topic_rows(spark, folder):
 def topic_term_totals(spark, folder):
     """Topics by their words: how many each has, whether all occur in two texts or more, and whether weights fall by rank."""
     rows = stored(classification.dealt(texts(spark, folder)), "texts")
-    terms = classify.topic_terms(classification.fitted(classify.named_topics(), rows))
-    words = rows.select(F.explode(F.array_distinct(F.split("clean_text", r"\s+"))).alias("term")).groupBy("term").agg(F.count("*").alias("texts"))
+    terms = classify.topic_terms(classification.fitted_topics(classify.named_topics(), rows))
+    # cleaned texts hold no white space but the space
+    named = F.broadcast(terms.select("term").distinct())  # ten a topic
+    words = rows.select(F.explode(F.array_distinct(F.split("clean_text", " "))).alias("term")).join(named, "term")
+    words = words.groupBy("term").agg(F.count("*").alias("texts"))
     found = terms.join(words, "term", "left").groupBy("topic")
     pairs = F.array_sort(F.collect_list(F.struct("rank", "weight")))  # ten a topic
     return found.agg(F.count("*").alias("terms"), F.every(F.coalesce(F.col("texts") >= 2, F.lit(False))).alias("known"), pairs.alias("p")).select(

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import CountVectorizer, StringIndexer
 from pyspark.sql import functions as F
 
 from rotativa.operators import classify, text_features
@@ -205,3 +206,38 @@ def test_a_fit_reads_bounded_parts(spark, monkeypatch, tmp_path):
 
     classification.fitted(Counting(), rows)
     assert parts == [32] and spark.read.parquet(path).rdd.getNumPartitions() < 32
+
+
+def _read_columns(rows):
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return set(re.findall(r"(\w+)#\d+", re.search(r"FileScan parquet \[([^\]]*)\]", plan)[1]))
+
+
+def test_scores_start_from_stored_counts(headlines):
+    _, scored = classification.train(headlines, num_features=256)
+    _, held_out = classification.held_out_predictions(headlines, "enlace", num_features=256)
+    assert _read_columns(scored.select("prediction")) == {"rawFeatures"}
+    assert _read_columns(held_out.select("prediction")) == {"rawFeatures", "held_out"}
+    assert {"words", "filtered_words", "features", "labelIndex", "clean_text", "enlace"} <= set(held_out.columns)
+
+
+def test_options_reach_the_held_out_classifier(headlines):
+    model, scored = classification.held_out_predictions(headlines, "enlace", num_features=64)
+    assert model.stages[3].idf.size == 64 and scored.where("size(words) = 0").count() == 0
+
+
+def test_topics_are_fitted_on_stored_words(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"uno dos tres w{i % 5}",) for i in range(40)], "clean_text STRING")
+    read = []
+    fitted = classification.fitted
+    monkeypatch.setattr(classification, "fitted", lambda pipeline, rows: read.append(rows.columns) or fitted(pipeline, rows))
+    model = classification.fitted_topics(classify.named_topics(topics=2, max_iterations=2), texts)
+    assert read == [["filtered_words"]]
+    assert {row.term for row in classify.topic_terms(model).collect()} == {"uno", "dos", "tres", "w0", "w1", "w2", "w3", "w4"}
+    assert classify.main_topic(model.transform(texts)).where("topic IS NULL").count() == 0
+
+
+def test_vocabulary_equals_the_counter(spark):
+    rows = spark.createDataFrame([(["a"] * 5,), (["b", "c", "b"],), (["b", "c"],), ([],), (["d", "c", "b", "e"],), (["e"],)], "words ARRAY<STRING>")
+    model = CountVectorizer(inputCol="words", outputCol="counts", vocabSize=3, minDF=2).fit(rows)
+    assert text_features.vocabulary(rows, "words", 3, 2) == list(model.vocabulary) == ["b", "c", "e"]
