@@ -177,7 +177,8 @@ def sketched_stats(spark, folder):
             *(sketches.near(F.col(f"e.{made}"), F.col(f"c.{made}")).alias(f"{made[7:]}_near") for made in named.values()),
         )
 
-    every = F.lit("all").alias("periodico")
+    # not a literal, which would fold away the key that the two rows are joined by
+    every = F.when(F.col("total_records") >= 0, "all").alias("periodico")
     by_source = beside(sketches.merged_statistics(kept, "periodico"), exact.groupBy("periodico").agg(*counts))
     in_all = beside(sketches.merged_statistics(kept).select(every, "*"), exact.agg(*counts).select(every, "*"))
     return by_source.unionByName(in_all)
